@@ -40,3 +40,20 @@ def money(x: Column, precision: int = 18) -> Column:
     """Exact decimal sum/amount as a double. The decimal value is exact, the
     conversion is correctly rounded, so every engine agrees on it."""
     return x.cast("double")
+
+
+def r6(x: Column) -> Column:
+    """Round half up to 6 places with IEEE operations only:
+    ``floor(x * 1e6 + 0.5) / 1e6``. Used on double aggregates whose summation
+    order is not fixed (avg, stddev, sums of ratios): the same double gives the
+    same bits in every engine, unlike decimal-based ``round`` whose tie rule
+    differs between engines."""
+    return F.when(x.isNotNull(), F.floor(x.cast("double") * 1e6 + 0.5).cast("double") / 1e6)
+
+
+def cents(x: Column, precision: int = 12) -> Column:
+    """Double -> DECIMAL(p,2) through integer cents, ``floor(x*100 + 0.5)``.
+    A direct cast rounds differently per engine (shortest decimal string vs
+    exact binary value); this form is bit-identical everywhere."""
+    return (F.floor(x * 100.0 + 0.5).cast(f"decimal({precision},0)")
+            * F.lit("0.01").cast("decimal(3,2)")).cast(f"decimal({precision},2)")

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cantora.functions.scalar import clip, max0
+from cantora.functions.scalar import cents, clip, max0
 
 # Fixed values of the reference's forecast.
 DEFAULT_ALPHA = 0.003
@@ -67,7 +67,7 @@ def baseline_uplift_fact(fct_sales: DataFrame, fct_rebates: DataFrame,
     m = m.withColumn("up", up)
     return m.select(
         *keys,
-        F.col("bl").cast("decimal(12,2)").alias("baseline_units"),
-        F.col("up").cast("decimal(12,2)").alias("uplift_units"),
-        max0(F.col("bl") + F.col("up")).cast("decimal(12,2)").alias("forecast_units"),
+        cents(F.col("bl")).alias("baseline_units"),
+        cents(F.col("up")).alias("uplift_units"),
+        cents(max0(F.col("bl") + F.col("up"))).alias("forecast_units"),
     )

@@ -47,10 +47,10 @@ dim_date AS (
          CAST(month(d) AS INTEGER) AS month, CAST(week(d) AS INTEGER) AS week,
          CAST(date_trunc('month', d) AS DATE) AS month_start,
          CAST(d AS DATE) - CAST((isodow(d) + 5) % 7 AS INTEGER) AS week_start
-  FROM (SELECT CAST(unnest(generate_series(CAST(min(date_id) AS TIMESTAMP),
-                                           CAST(max(date_id) AS TIMESTAMP),
+  FROM (SELECT CAST(unnest(generate_series(CAST(min(CAST(l_shipdate AS DATE)) AS TIMESTAMP),
+                                           CAST(max(CAST(l_shipdate AS DATE)) AS TIMESTAMP),
                                            INTERVAL 1 DAY)) AS DATE) AS d
-        FROM fct_sales)
+        FROM lineitem)
 ),
 dim_product AS (
   SELECT CAST(regexp_extract(p_brand, '[0-9]+', 0) AS INTEGER) AS product_id,
@@ -103,9 +103,9 @@ fc_u AS (
 ),
 fct_forecast AS (
   SELECT date_id, product_id, region_id,
-         CAST(bl AS DECIMAL(12,2)) AS baseline_units,
-         CAST(up AS DECIMAL(12,2)) AS uplift_units,
-         CAST(GREATEST(0.0, bl + up) AS DECIMAL(12,2)) AS forecast_units
+         CAST(CAST(floor(bl * 100.0 + 0.5) AS DECIMAL(14,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(12,2)) AS baseline_units,
+         CAST(CAST(floor(up * 100.0 + 0.5) AS DECIMAL(14,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(12,2)) AS uplift_units,
+         CAST(CAST(floor(GREATEST(0.0, bl + up) * 100.0 + 0.5) AS DECIMAL(14,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(12,2)) AS forecast_units
   FROM fc_u
 )
 """
@@ -161,7 +161,50 @@ mart_forecast_accuracy AS (
     ON a.year = f.year AND a.month = f.month AND a.brand = f.brand AND a.canton = f.canton
 )"""
 
-MARTS = f"{MART_GTN},{MART_PERF},{MART_FC}"
+SEMANTIC = """
+exec_m AS (
+  SELECT year, month, brand, canton, SUM(gross_sales_chf) AS gross_sales,
+         SUM(rebates_chf) AS rebates, SUM(net_sales_chf) AS net_sales,
+         make_date(year, month, 1) AS month_start
+  FROM mart_gtn_waterfall GROUP BY year, month, brand, canton
+),
+perf_m AS (SELECT *, make_date(year, month, 1) AS month_start FROM mart_brand_perf),
+fc_mm AS (SELECT *, make_date(year, month, 1) AS month_start FROM mart_forecast_accuracy),
+canton_m AS (
+  SELECT make_date(p.year, p.month, 1) AS month_start, p.brand, p.canton, p.units,
+         p.gross_sales_chf AS gross, g.rebates_chf AS rebates, g.net_sales_chf AS net,
+         p.promo_spend AS promo
+  FROM mart_brand_perf p LEFT JOIN mart_gtn_waterfall g
+    ON p.year = g.year AND p.month = g.month AND p.brand = g.brand AND p.canton = g.canton
+),
+daily_demand AS (
+  SELECT d.date_id, d.date_id AS date_actual, s.product_id, SUM(s.units) AS units
+  FROM fct_sales s JOIN dim_date d ON s.date_id = d.date_id
+  GROUP BY 1, 2, 3
+),
+brand_m AS (
+  SELECT brand, month_start, SUM(units) AS units, SUM(gross) AS gross, SUM(rebates) AS rebates,
+         SUM(net) AS net, SUM(promo) AS promo
+  FROM canton_m GROUP BY brand, month_start
+)"""
+
+MARTS = f"{MART_GTN},{MART_PERF},{MART_FC},{SEMANTIC}"
+
+
+def D(col: str, alias: str | None = None) -> str:
+    """``CAST(col AS DOUBLE) AS alias``."""
+    return f"CAST({col} AS DOUBLE) AS {alias or col.split('.')[-1]}"
+
+
+def CENTS(expr: str, p: int = 12) -> str:
+    """Twin of ``scalar.cents``."""
+    return (f"CAST(CAST(floor(CAST({expr} AS DOUBLE) * 100.0 + 0.5) AS DECIMAL({p + 2},0))"
+            f" * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL({p},2))")
+
+
+def R6(expr: str) -> str:
+    """Engine-independent half-up rounding to 6 places (twin of ``scalar.r6``)."""
+    return f"(floor(CAST({expr} AS DOUBLE) * 1e6 + 0.5) / 1e6)"
 
 
 def with_star(body: str, marts: bool = True) -> str:

@@ -116,9 +116,11 @@ class Star:
     # ------------------------------------------------------------------ dims
     @cached_property
     def dim_date(self) -> DataFrame:
-        """Daily calendar over min..max ``date_id`` of the sales fact. The
-        bounds come from one aggregate; the spine is generated on executors."""
-        bounds = self.fct_sales.agg(F.min("date_id").alias("lo"), F.max("date_id").alias("hi"))
+        """Daily calendar over min..max ship date of the source line items. The
+        bounds come from a one-column aggregate of the line-item scan (no join);
+        the spine is generated on executors."""
+        d = F.col("l_shipdate").cast("date")
+        bounds = self.t.lineitem.agg(F.min(d).alias("lo"), F.max(d).alias("hi"))
         return calendar_from_bounds(bounds)
 
     @cached_property
