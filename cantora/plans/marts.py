@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 
 from cantora.operators.star import MONTH_GRAIN, star_monthly
 
-ZERO_MONEY = F.lit(0).cast("decimal(14,2)")
+
+
+def _zero():
+    return F.lit(0).cast("decimal(14,2)")
 
 
 def mart_gtn_waterfall(star) -> DataFrame:
@@ -23,7 +26,7 @@ def mart_gtn_waterfall(star) -> DataFrame:
     sales = star_monthly(star.fct_sales, star, {"gross_sales_chf": "gross_sales_chf"})
     rebates = star_monthly(star.fct_rebates, star, {"rebates_chf": "rebate_chf"})
     j = sales.join(rebates, MONTH_GRAIN, "left")
-    reb = F.coalesce(F.col("rebates_chf"), ZERO_MONEY)
+    reb = F.coalesce(F.col("rebates_chf"), _zero())
     return j.select(*MONTH_GRAIN, "gross_sales_chf", reb.alias("rebates_chf"),
                     (F.col("gross_sales_chf") - reb).alias("net_sales_chf"))
 
@@ -35,7 +38,7 @@ def mart_brand_perf(star) -> DataFrame:
     promo = star_monthly(star.fct_promo, star, {"promo_spend": "spend_chf"})
     j = sales.join(promo, MONTH_GRAIN, "left")
     return j.select(*MONTH_GRAIN, "units", "gross_sales_chf",
-                    F.coalesce(F.col("promo_spend"), ZERO_MONEY).alias("promo_spend"))
+                    F.coalesce(F.col("promo_spend"), _zero()).alias("promo_spend"))
 
 
 def mart_forecast_accuracy(star) -> DataFrame:
