@@ -71,3 +71,201 @@ def baseline_uplift_fact(fct_sales: DataFrame, fct_rebates: DataFrame,
         cents(F.col("up")).alias("uplift_units"),
         cents(max0(F.col("bl") + F.col("up"))).alias("forecast_units"),
     )
+
+
+# --------------------------------------------------------------------------
+# calibration frame and features (month grain, series = brand x canton)
+# --------------------------------------------------------------------------
+def calibration_frame(star) -> DataFrame:
+    """period, brand, canton, units, promo_spend, rebate_rate (doubles):
+    brand-perf mart LEFT JOIN the GTN mart; rebate rate 0 when gross <= 0 or
+    missing."""
+    from cantora.functions.dates import make_month
+    from cantora.operators.star import MONTH_GRAIN
+    from cantora.plans import marts
+    perf = marts.mart_brand_perf(star).select(
+        *MONTH_GRAIN, "units", F.coalesce("promo_spend", F.lit(0)).alias("promo_spend"))
+    gtn = marts.mart_gtn_waterfall(star).groupBy(*MONTH_GRAIN).agg(
+        F.sum("gross_sales_chf").alias("g"), F.sum("rebates_chf").alias("r"))
+    m = perf.join(gtn, MONTH_GRAIN, "left")
+    rr = F.when(F.col("g") > 0, F.col("r").cast("double") / F.col("g").cast("double")).otherwise(0.0)
+    return m.select(make_month(F.col("year"), F.col("month")).alias("period"), "brand", "canton",
+                    F.col("units").cast("double").alias("units"),
+                    F.col("promo_spend").cast("double").alias("promo_spend"),
+                    rr.alias("rebate_rate"))
+
+
+def add_features(frame: DataFrame, promo_lag: int = 0, group_cols=SERIES) -> DataFrame:
+    """baseline (mean of the previous 4 periods, at least 1), promo feature
+    (promo spend lagged ``promo_lag`` periods in the series), rebate pressure
+    (rate x units), actual uplift (units - baseline)."""
+    w = Window.partitionBy(*group_cols).orderBy(F.col("period").asc_nulls_last())
+    base = F.avg("units").over(w.rowsBetween(-BASELINE_WINDOW, -1))
+    promo = F.col("promo_spend") if promo_lag == 0 else F.lag("promo_spend", promo_lag).over(w)
+    out = frame.withColumns({"baseline_units": base, "promo_feat": promo})
+    return out.withColumns({
+        "rebate_pressure": F.col("rebate_rate") * F.col("units"),
+        "uplift_actual": F.col("units") - F.col("baseline_units")})
+
+
+def forecast_with(df: DataFrame, a: Column, b: Column) -> DataFrame:
+    """uplift_pred = clip(a*promo + b*pressure, -0.4u, 0.5u);
+    forecast = max(0, baseline + uplift_pred). NULL in, NULL out."""
+    up = uplift_expr(a, F.col("promo_feat"), b, F.col("rebate_pressure"), F.col("units"))
+    return df.withColumn("uplift_pred", up).withColumn(
+        "forecast_units", max0(F.col("baseline_units") + F.col("uplift_pred")))
+
+
+def default_window(frame: DataFrame, group_cols=()) -> DataFrame:
+    """Default training window per scope: from max(first period, last period
+    - 12 months) to the last period."""
+    g = frame.groupBy(*group_cols) if group_cols else frame.groupBy()
+    b = g.agg(F.min("period").alias("_pmin"), F.max("period").alias("_pmax"))
+    return b.select(*group_cols,
+                    F.greatest("_pmin", F.add_months("_pmax", -12)).alias("train_start"),
+                    F.col("_pmax").alias("train_end"))
+
+
+def train_rows(feats: DataFrame, window: DataFrame, group_cols=()) -> DataFrame:
+    """Rows inside the scope's window with a baseline and a promo feature.
+    The window frame has one row per scope (joined on the scope keys, or
+    broadcast when the scope is global: one row)."""
+    if group_cols:
+        j = feats.join(window, list(group_cols))
+    else:
+        j = feats.crossJoin(F.broadcast(window))
+    j = j.filter((F.col("period") >= F.col("train_start")) & (F.col("period") <= F.col("train_end")))
+    return j.na.drop(subset=["baseline_units", "promo_feat"])
+
+
+def moments(train: DataFrame, group_cols=(), weighted: bool = False) -> DataFrame:
+    """Moment sums of the two-feature, no-intercept regression in one
+    aggregate: n, Σx1², Σx1x2, Σx2², Σx1y, Σx2y, Σy², and max|x| for the
+    all-zero test. WLS multiplies X and y by sqrt(max(units, 1)), i.e. weights
+    the products by max(units, 1)."""
+    x1, x2, y = F.col("promo_feat"), F.col("rebate_pressure"), F.col("uplift_actual")
+    w = F.greatest(F.col("units"), F.lit(1.0)) if weighted else F.lit(1.0)
+    sw = F.sqrt(w) if weighted else F.lit(1.0)
+    g = train.groupBy(*group_cols) if group_cols else train.groupBy()
+    return g.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(w * x1 * x1).alias("s11"), F.sum(w * x1 * x2).alias("s12"),
+        F.sum(w * x2 * x2).alias("s22"), F.sum(w * x1 * y).alias("s1y"),
+        F.sum(w * x2 * y).alias("s2y"), F.sum(w * y * y).alias("syy"),
+        F.max(F.greatest(F.abs(x1 * sw), F.abs(x2 * sw))).alias("maxabs"))
+
+
+def r9(x: Column) -> Column:
+    """Half-up to 9 places with IEEE operations (fitted parameters)."""
+    return F.when(x.isNotNull(), F.floor(x * 1e9 + 0.5).cast("double") / 1e9)
+
+
+def _fallback(m: Column | None = None) -> Column:
+    return (F.col("n") < MIN_FIT_ROWS) | F.col("maxabs").isNull() | (F.col("maxabs") <= ALLCLOSE_ATOL)
+
+
+def ols_columns() -> tuple[Column, Column]:
+    """Least-squares (alpha, beta) from moment sums; minimum-norm answer when
+    the 2x2 system is singular (collinear or zero columns)."""
+    s11, s12, s22, s1y, s2y = (F.col(c) for c in ("s11", "s12", "s22", "s1y", "s2y"))
+    det = s11 * s22 - s12 * s12
+    regular = (s11 * s22 > 0) & (det > F.lit(1e-14) * s11 * s22)
+    td = F.try_divide
+    a = F.when(regular, td(s22 * s1y - s12 * s2y, det)).otherwise(td(s1y, s11 + s22))
+    b = F.when(regular, td(s11 * s2y - s12 * s1y, det)).otherwise(td(s2y, s11 + s22))
+    return a, b
+
+
+def solve(m: DataFrame, method: str = "ols", group_cols=()) -> DataFrame:
+    """alpha, beta, ok per group from moment sums. ``ols`` (also WLS when the
+    moments are weighted) or ``bounded`` (alpha >= 0, beta <= 0: the least-SSE
+    of interior-if-feasible, alpha=0 edge, beta=0 edge and the corner)."""
+    a, b = ols_columns()
+    if method == "bounded":
+        s11, s12, s22, s1y, s2y, syy = (F.col(c) for c in ("s11", "s12", "s22", "s1y", "s2y", "syy"))
+
+        def sse(x, y):
+            return syy - 2 * (x * s1y + y * s2y) + x * x * s11 + 2 * x * y * s12 + y * y * s22
+
+        zero = F.lit(0.0)
+        b_edge = F.when(s22 > 0, F.least(zero, F.try_divide(s2y, s22))).otherwise(zero)
+        a_edge = F.when(s11 > 0, F.greatest(zero, F.try_divide(s1y, s11))).otherwise(zero)
+        cands = [
+            F.when((a >= 0) & (b <= 0), F.struct(sse(a, b).alias("e"), F.lit(0).alias("i"),
+                                                 a.alias("a"), b.alias("b"))),
+            F.struct(sse(zero, b_edge).alias("e"), F.lit(1).alias("i"), zero.alias("a"), b_edge.alias("b")),
+            F.struct(sse(a_edge, zero).alias("e"), F.lit(2).alias("i"), a_edge.alias("a"), zero.alias("b")),
+            F.struct(sse(zero, zero).alias("e"), F.lit(3).alias("i"), zero.alias("a"), zero.alias("b")),
+        ]
+        best = F.least(*cands)
+        a, b = best["a"], best["b"]
+    fb = _fallback()
+    return m.select(
+        *group_cols, "n",
+        F.when(fb, F.lit(DEFAULT_ALPHA)).otherwise(r9(a)).alias("alpha"),
+        F.when(fb, F.lit(DEFAULT_BETA)).otherwise(r9(b)).alias("beta"),
+        (~fb).alias("ok"))
+
+
+def fit(train: DataFrame, method: str = "ols", group_cols=(), weighted: bool = False) -> DataFrame:
+    return solve(moments(train, group_cols, weighted), method, group_cols)
+
+
+def fit_grid(train: DataFrame, a_max: float = 0.02, b_min: float = -1.0, steps: int = 51,
+             group_cols=()) -> DataFrame:
+    """Least train MAPE over an a x b grid (np.linspace points built from the
+    integer index). Each training row is expanded to the steps^2 grid points
+    with ``explode`` (no join), errors are averaged per (group, grid point)
+    with map-side partial sums, and the arg-min keeps the first point in
+    (a, b) order among equal errors (errors rounded to 9 places first)."""
+    n_pts = steps * steps
+    k = F.explode(F.sequence(F.lit(0), F.lit(n_pts - 1))).alias("k")
+    x = train.select(*group_cols, "promo_feat", "rebate_pressure", "baseline_units", "units", k)
+    ia, ib = (F.col("k") / steps).cast("int"), F.col("k") % steps
+    a_step, b_step = a_max / (steps - 1), (0.0 - b_min) / (steps - 1)
+    a = F.when(ia == steps - 1, F.lit(float(a_max))).otherwise(ia.cast("double") * a_step)
+    b = F.when(ib == steps - 1, F.lit(0.0)).otherwise(ib.cast("double") * b_step + b_min)
+    act = F.col("units")
+    up = clip(a * F.col("promo_feat") + b * F.col("rebate_pressure"),
+              F.lit(UPLIFT_FLOOR) * act, F.lit(UPLIFT_CAP) * act)
+    fc = max0(F.col("baseline_units") + up)
+    ape = F.when(act > 0, F.abs((act - fc) / act) * 100.0)
+    per_pt = x.groupBy(*group_cols, "k").agg(F.avg(ape).alias("err"))
+    per_pt = per_pt.select(*group_cols, "k", r9(F.col("err")).alias("err"))
+    gk = per_pt.groupBy(*group_cols) if group_cols else per_pt.groupBy()
+    best = gk.agg(F.min(F.struct(F.col("err"), F.col("k"))).alias("best"),
+                  F.count("err").alias("_has"))
+    rows = train.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n")) if group_cols else \
+        train.agg(F.count(F.lit(1)).alias("n"))
+    j = rows.join(best, list(group_cols), "left") if group_cols else rows.crossJoin(best)
+    kb = F.col("best.k")
+    ba = F.when((kb / steps).cast("int") == steps - 1, F.lit(float(a_max))) \
+        .otherwise((kb / steps).cast("int").cast("double") * a_step)
+    bb = F.when(kb % steps == steps - 1, F.lit(0.0)).otherwise((kb % steps).cast("double") * b_step + b_min)
+    few = F.col("n") < MIN_FIT_ROWS
+    no_err = F.coalesce(F.col("_has"), F.lit(0)) == 0
+    return j.select(
+        *group_cols, "n",
+        F.when(few | no_err, F.lit(DEFAULT_ALPHA)).otherwise(ba).alias("alpha"),
+        F.when(few | no_err, F.lit(DEFAULT_BETA)).otherwise(bb).alias("beta"),
+        (~few).alias("ok"))
+
+
+# --------------------------------------------------------------------------
+# metrics (NULL forecasts are skipped and counted)
+# --------------------------------------------------------------------------
+def metric_columns(y: Column, yhat: Column) -> list[Column]:
+    from cantora.functions.scalar import r6
+    ok = yhat.isNotNull() & y.isNotNull()
+    ape = F.when(ok & (y > 0), F.abs((y - yhat) / y) * 100.0)
+    den = F.abs(y) + F.abs(yhat)
+    sape = F.when(ok & (den > 0), 2.0 * F.abs(y - yhat) / den * 100.0)
+    abs_err = F.when(ok, F.abs(y - yhat))
+    sum_abs_y = F.sum(F.when(ok, F.abs(y)))
+    return [
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(~ok).alias("null_forecasts"),
+        r6(F.avg(ape)).alias("mape"),
+        r6(F.avg(sape)).alias("smape"),
+        r6(F.when(sum_abs_y != 0, F.sum(abs_err) / sum_abs_y * 100.0)).alias("wape"),
+    ]
