@@ -65,7 +65,7 @@ def load_all() -> None:
     """Import every module that registers queries."""
     import importlib
     for mod in ("scans", "cleaning", "filters", "joins", "aggregates", "windows",
-                "ordering", "kpis", "forecasting", "quality"):
+                "ordering", "kpis", "forecasting", "quality", "parameters"):
         try:
             importlib.import_module(f"cantora.plans.{mod}")
         except ModuleNotFoundError as e:  # modules are added as coverage grows
