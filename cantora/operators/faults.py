@@ -8,13 +8,11 @@ format, which broken key) come from other digits of the same hash. DuckDB can
 replay all of it, so every fault key has a full oracle.
 
 Scale: masks depend only on the clean row's key, so the cuts of all stages are
-found together in two aggregate passes over the base frame:
-
-1. a histogram of (stage, 20-bit hash prefix) -> counts, then a running sum per
-   stage over at most 2^20 buckets finds each stage's threshold bucket;
-2. the rows of those buckets, reduced to distinct (stage, hash) -> counts
-   (identical copies collapse in the map-side combine), and a running sum per
-   stage finds the cut hash.
+found together in three aggregate passes over the base frame, each narrowing
+the hash range by 16 bits (histogram -> running sum over at most 65,536
+buckets per stage -> the bucket holding the k-th row); the last pass keeps the
+distinct hashes of one sub-bucket (about n / 2^32 rows; identical copies
+collapse in the map-side combine).
 
 The cuts form a one-row frame (one column per stage, size proven) that is
 broadcast; every fault is then a column expression in one projection.
@@ -34,7 +32,6 @@ RATE_DATES = 0.08
 RATE_FK = 0.02
 RATE_DUPES = 0.02
 FK_LOW, FK_HIGH = 900000, 999999  # broken keys are drawn from [900000, 999999)
-BUCKET_HEX = 5
 
 
 @dataclass(frozen=True)
@@ -57,36 +54,47 @@ def hex_int(h: Column, start: int, length: int = 8) -> Column:
     return F.conv(F.substring(h, start, length), 16, 10).cast("bigint")
 
 
+def _level(cands: DataFrame, digits: Column, prev: DataFrame) -> DataFrame:
+    """Histogram of one hash level for the candidates of each stage and the
+    running count: the bucket holding the r-th row and the residual rank."""
+    hist = cands.groupBy("stage", digits.alias("b")).agg(F.count(F.lit(1)).alias("c"))
+    w = Window.partitionBy("stage").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
+    hist = hist.withColumn("cum", F.sum("c").over(w)).join(F.broadcast(prev), "stage") \
+        .filter(F.col("cum") >= F.col("r"))
+    return hist.groupBy("stage").agg(F.min(F.struct("b", "cum", "c", "r", "prefix")).alias("t")).select(
+        "stage", F.concat(F.col("t.prefix"), F.col("t.b")).alias("prefix"),
+        (F.col("t.r") - (F.col("t.cum") - F.col("t.c"))).alias("r"))
+
+
 def stage_cuts(base: DataFrame, key_col: str, stages: list[Stage], seed: str = SEED) -> DataFrame:
     """One-row frame with a column ``cut_<i>`` per stage: the k-th smallest
-    stage hash (NULL when k = 0)."""
+    stage hash (NULL when k = 0).
+
+    Three passes, each an aggregate whose output is bounded by a constant:
+    16-bit prefix histogram -> 16-bit sub-histogram inside the chosen bucket
+    -> distinct hashes inside the chosen sub-bucket (about n / 2^32 rows per
+    stage; identical copies collapse map-side). Running sums are windows over
+    those small frames only."""
+    hashes = F.array(*[F.struct(F.lit(i).alias("stage"), stage_hash(s.name, F.col(key_col), seed).alias("h"))
+                       for i, s in enumerate(stages)])
+    exploded = base.select(F.explode(hashes).alias("x")).select("x.stage", "x.h")
     n = base.agg(F.count(F.lit(1)).alias("_n"))
     ks = F.array(*[F.struct(F.lit(i).alias("stage"), F.lit(s.rate).alias("rate"),
                             F.lit(s.at_least_one).alias("one")) for i, s in enumerate(stages)])
     k = n.select(F.explode(ks).alias("s"), "_n").select(
-        F.col("s.stage").alias("stage"),
+        F.col("s.stage").alias("stage"), F.lit("").alias("prefix"),
         F.when(F.col("s.one"),
                F.least(F.col("_n"), F.greatest(F.lit(1), F.floor(F.col("s.rate") * F.col("_n")))))
-        .otherwise(F.floor(F.col("s.rate") * F.col("_n"))).cast("bigint").alias("_k"))
-    hashes = F.array(*[F.struct(F.lit(i).alias("stage"), stage_hash(s.name, F.col(key_col), seed).alias("h"))
-                       for i, s in enumerate(stages)])
-    exploded = base.select(F.explode(hashes).alias("x")).select("x.stage", "x.h")
-    # pass 1: bucket histogram per stage
-    hist = exploded.groupBy("stage", F.substring("h", 1, BUCKET_HEX).alias("b")).agg(
-        F.count(F.lit(1)).alias("c"))
-    wb = Window.partitionBy("stage").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
-    hist = hist.withColumn("cum", F.sum("c").over(wb)).join(F.broadcast(k), "stage") \
-        .filter((F.col("_k") > 0) & (F.col("cum") >= F.col("_k")))
-    tb = hist.groupBy("stage").agg(F.min(F.struct("b", "cum", "c", "_k")).alias("t")).select(
-        "stage", F.col("t.b").alias("tb"),
-        (F.col("t._k") - (F.col("t.cum") - F.col("t.c"))).alias("r"))
-    # pass 2: distinct hashes inside each stage's threshold bucket
-    cand = exploded.join(F.broadcast(tb), "stage") \
-        .filter(F.substring("h", 1, BUCKET_HEX) == F.col("tb")) \
-        .groupBy("stage", "h", "r").agg(F.count(F.lit(1)).alias("c"))
-    wh = Window.partitionBy("stage").orderBy("h").rowsBetween(Window.unboundedPreceding, 0)
-    cut = cand.withColumn("cum", F.sum("c").over(wh)).filter(F.col("cum") >= F.col("r")) \
-        .groupBy("stage").agg(F.min("h").alias("cut"))
+        .otherwise(F.floor(F.col("s.rate") * F.col("_n"))).cast("bigint").alias("r")) \
+        .filter(F.col("r") > 0)
+    t1 = _level(exploded, F.substring("h", 1, 4), k)
+    c2 = exploded.join(F.broadcast(t1.select("stage", "prefix")), "stage") \
+        .filter(F.substring("h", 1, 4) == F.col("prefix")).select("stage", "h")
+    t2 = _level(c2, F.substring("h", 5, 4), t1)
+    c3 = exploded.join(F.broadcast(t2.select("stage", "prefix")), "stage") \
+        .filter(F.substring("h", 1, 8) == F.col("prefix")).select("stage", "h")
+    t3 = _level(c3, F.substring("h", 9, 24), t2)
+    cut = t3.select("stage", F.col("prefix").alias("cut"))
     one = cut.groupBy().pivot("stage", list(range(len(stages)))).agg(F.first("cut"))
     return one.select(*[F.col(str(i)).alias(f"cut_{i}") for i in range(len(stages))])
 

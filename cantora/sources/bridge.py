@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cantora.functions.dates import week_start
-from cantora.sources.tables import Tables
+from cantora.sources.tables import Tables, read_parquet
 
 MONEY = "decimal(14,2)"
 
@@ -179,5 +179,42 @@ def calendar_from_bounds(bounds: DataFrame, lo: str = "lo", hi: str = "hi") -> D
     )
 
 
+CORE = ["fct_sales", "fct_rebates", "fct_promo", "fct_forecast",
+        "dim_date", "dim_product", "dim_region", "dim_payer", "dim_channel"]
+
+# (spark application id, sf_dir) -> folder of a materialised core star
+_MATERIALIZED: dict[tuple[str, str], str] = {}
+
+
+class StoredStar(Star):
+    """A star whose core tables were written once and are read back (the
+    reference's ``rps_core`` tables); raw driver tables stay reachable as ``t``."""
+
+    def __init__(self, tables: Tables, folder: str):
+        super().__init__(tables)
+        self.folder = folder
+
+    def __getattribute__(self, name):
+        if name in CORE:
+            from cantora.sources.tables import read_parquet
+            return read_parquet(self.spark, f"{object.__getattribute__(self, 'folder')}/{name}")
+        return object.__getattribute__(self, name)
+
+
+def materialize_core(spark, sf_dir: str) -> str:
+    """Build the core star from the driver tables, write every table to a
+    fresh folder under the shared checkpoint directory, and make ``star()``
+    serve it for this application and input folder."""
+    from cantora.session import scratch_path
+    s = Star(Tables(spark, sf_dir))
+    folder = scratch_path(spark, "core")
+    for name in CORE:
+        getattr(s, name).write.mode("overwrite").parquet(f"{folder}/{name}")
+    _MATERIALIZED[(spark.sparkContext.applicationId, sf_dir.rstrip("/"))] = folder
+    return folder
+
+
 def star(spark, sf_dir: str) -> Star:
-    return Star(Tables(spark, sf_dir))
+    t = Tables(spark, sf_dir)
+    folder = _MATERIALIZED.get((spark.sparkContext.applicationId, t.sf_dir))
+    return StoredStar(t, folder) if folder else Star(t)
