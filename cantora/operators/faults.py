@@ -9,9 +9,9 @@ replay all of it, so every fault key has a full oracle.
 
 Scale: masks depend only on the clean row's key, so the cuts of all stages are
 found together in three aggregate passes over the base frame, each narrowing
-the hash range by 16 bits (histogram -> running sum over at most 65,536
+the hash range (12, then 16 bits: histogram -> running sum over at most 65,536
 buckets per stage -> the bucket holding the k-th row); the last pass keeps the
-distinct hashes of one sub-bucket (about n / 2^32 rows; identical copies
+distinct hashes of one sub-bucket (about n / 2^28 rows; identical copies
 collapse in the map-side combine).
 
 The cuts form a one-row frame (one column per stage, size proven) that is
@@ -71,8 +71,8 @@ def stage_cuts(base: DataFrame, key_col: str, stages: list[Stage], seed: str = S
     stage hash (NULL when k = 0).
 
     Three passes, each an aggregate whose output is bounded by a constant:
-    16-bit prefix histogram -> 16-bit sub-histogram inside the chosen bucket
-    -> distinct hashes inside the chosen sub-bucket (about n / 2^32 rows per
+    12-bit prefix histogram -> 16-bit sub-histogram inside the chosen bucket
+    -> distinct hashes inside the chosen sub-bucket (about n / 2^28 rows per
     stage; identical copies collapse map-side). Running sums are windows over
     those small frames only."""
     hashes = F.array(*[F.struct(F.lit(i).alias("stage"), stage_hash(s.name, F.col(key_col), seed).alias("h"))
@@ -87,13 +87,15 @@ def stage_cuts(base: DataFrame, key_col: str, stages: list[Stage], seed: str = S
                F.least(F.col("_n"), F.greatest(F.lit(1), F.floor(F.col("s.rate") * F.col("_n")))))
         .otherwise(F.floor(F.col("s.rate") * F.col("_n"))).cast("bigint").alias("r")) \
         .filter(F.col("r") > 0)
-    t1 = _level(exploded, F.substring("h", 1, 4), k)
+    # 12-bit first level: its map-side combine shrinks every task to <= 4096
+    # buckets per stage; then 16 bits inside the chosen bucket; then the rest
+    t1 = _level(exploded, F.substring("h", 1, 3), k)
     c2 = exploded.join(F.broadcast(t1.select("stage", "prefix")), "stage") \
-        .filter(F.substring("h", 1, 4) == F.col("prefix")).select("stage", "h")
-    t2 = _level(c2, F.substring("h", 5, 4), t1)
+        .filter(F.substring("h", 1, 3) == F.col("prefix")).select("stage", "h")
+    t2 = _level(c2, F.substring("h", 4, 4), t1)
     c3 = exploded.join(F.broadcast(t2.select("stage", "prefix")), "stage") \
-        .filter(F.substring("h", 1, 8) == F.col("prefix")).select("stage", "h")
-    t3 = _level(c3, F.substring("h", 9, 24), t2)
+        .filter(F.substring("h", 1, 7) == F.col("prefix")).select("stage", "h")
+    t3 = _level(c3, F.substring("h", 8, 25), t2)
     cut = t3.select("stage", F.col("prefix").alias("cut"))
     one = cut.groupBy().pivot("stage", list(range(len(stages)))).agg(F.first("cut"))
     return one.select(*[F.col(str(i)).alias(f"cut_{i}") for i in range(len(stages))])

@@ -158,8 +158,18 @@ dfc AS (SELECT *, {UP_DEF} AS uplift_pred, {FC_DEF} AS forecast_units FROM feat)
 # --------------------------------------------------------------------------
 # Spark helpers shared by the queries
 # --------------------------------------------------------------------------
+def frame_of(star):
+    """The calibration frame, checkpointed (reliable, shared folder). It is
+    small (series x months) and every fit / scope / window of a query reads
+    it several times; the checkpoint cuts the two-mart lineage so it is built
+    once per query instead of once per use."""
+    from cantora.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(star.spark)
+    return fc.calibration_frame(star).checkpoint()
+
+
 def features(star, promo_lag: int = 0):
-    return fc.add_features(fc.calibration_frame(star), promo_lag)
+    return fc.add_features(frame_of(star), promo_lag)
 
 
 def default_forecast(star):
@@ -167,13 +177,13 @@ def default_forecast(star):
 
 
 def global_train(star, promo_lag: int = 0):
-    frame = fc.calibration_frame(star)
+    frame = frame_of(star)
     feats = fc.add_features(frame, promo_lag)
     return fc.train_rows(feats, fc.default_window(frame))
 
 
 def group_train(star, group):
-    frame = fc.calibration_frame(star)
+    frame = frame_of(star)
     feats = fc.add_features(frame)
     return fc.train_rows(feats, fc.default_window(frame, group), group)
 
@@ -219,7 +229,7 @@ SCOPE_FITS_SQL = f"""{BASE},
 
 
 def scope_fits(star):
-    frame = fc.calibration_frame(star)
+    frame = frame_of(star)
     feats = fc.add_features(frame)
     out = {}
     for name, group in (("global", ()), ("brand", ("brand",)), ("brand_canton", ("brand", "canton"))):
@@ -355,7 +365,7 @@ UNION ALL SELECT 'brand', brand, train_start, train_end FROM wb"""))
 def q_fc_train_window(star):
     """Default training window (last 12 month starts within the data) of the
     global scope and of every brand."""
-    frame = fc.calibration_frame(star)
+    frame = frame_of(star)
     g = fc.default_window(frame).select(F.lit("global").alias("scope"),
                                         F.lit("__GLOBAL__").alias("scope_key"), "train_start", "train_end")
     b = fc.default_window(frame, ("brand",)).select(F.lit("brand").alias("scope"),
@@ -403,7 +413,7 @@ SELECT split, {metrics_sql()} FROM ev WHERE split IS NOT NULL GROUP BY split""")
 def q_fc_eval_train_valid(star):
     """Rows, MAPE, SMAPE, WAPE on the training window and after it, for the
     global OLS fit (one-row parameter and window frames, broadcast)."""
-    frame = fc.calibration_frame(star)
+    frame = frame_of(star)
     feats = fc.add_features(frame)
     win = fc.default_window(frame)
     p = fc.fit(fc.train_rows(feats, win), "ols").select("alpha", "beta")

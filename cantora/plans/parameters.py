@@ -37,7 +37,8 @@ def q_params_canonical_keys(star):
 
 
 def _versions(star):
-    frame = fc.calibration_frame(star)
+    from cantora.plans.forecasting import frame_of
+    frame = frame_of(star)
     feats = fc.add_features(frame)
     rows = []
     for level, group, weighted, stamp, method in (
