@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from cantora.functions import clean as C
 from cantora.functions.dates import make_month, period_label
-from cantora.functions.scalar import clip, max0
 from cantora.operators import faults
 from cantora.sources import raw as R
 from cantora.plans.oracle_sql import with_star
@@ -460,5 +459,3 @@ def q_period_label(star):
     e = semantic.exec_monthly(star).select("year", "month").distinct()
     return e.withColumn("period", period_label(F.col("year"), F.col("month")))
 
-
-_ = (clip, max0)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cantora.operators import forecast as fc
 from cantora.operators import params as P
-from cantora.plans.forecasting import BASE, SCOPE_FITS_SQL, moments_sql, ols_sql, train_sql, window_sql
+from cantora.plans.forecasting import SCOPE_FITS_SQL, moments_sql, ols_sql
 from cantora.plans.oracle_sql import with_star
 from cantora.plans.registry import star_query
 from cantora.session import scratch_path
@@ -109,5 +109,3 @@ def q_params_lookup(star):
     n = P.newest(table.filter(F.col("scope_level") == "brand"))
     return n.select(F.col("scope_key1").alias("brand"), "alpha", "beta", "fit_method", "updated_at")
 
-
-_ = (BASE, train_sql, window_sql)

@@ -9,7 +9,7 @@ or edges.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cantora.functions.scalar import r6
@@ -93,7 +93,8 @@ def q_dq_freshness(star):
     for p in parts[1:]:
         u = u.unionByName(p)
     as_of = F.lit(AS_OF).cast("timestamp_ntz")
-    secs = F.col("as_of").cast("timestamp").cast("long") - F.col("newest").cast("timestamp").cast("long")
+    # wall-clock difference of two NTZ timestamps: no session time zone involved
+    secs = F.timestamp_diff("SECOND", F.col("newest"), F.col("as_of"))
     u = u.withColumn("as_of", as_of)
     return u.select("table_name", "newest", "as_of", r6(secs / 3600.0).alias("age_hours"),
                     F.when(F.col("newest").isNull(), "error")
@@ -345,5 +346,3 @@ def q_dq_reconcile(star):
                                      ("promo", "p", "sp"))])
     return one.select(F.explode(rows).alias("x")).select("x.*")
 
-
-_ = Window

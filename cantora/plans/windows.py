@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from cantora.functions.scalar import r6
 from cantora.operators import semantic, series
-from cantora.operators.star import MONTH_GRAIN
 from cantora.plans.aggregates import daily_demand
 from cantora.plans.joins import SPINE_SQL, spine_brand
 from cantora.plans.oracle_sql import R6, with_star
@@ -278,5 +277,3 @@ def q_win_rolling_band(star):
                      r6(sd).alias("roll_sd"), r6(mean - sd).alias("band_lo"),
                      r6(mean + sd).alias("band_hi"))
 
-
-_ = MONTH_GRAIN
