@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cantora.functions.dates import week_start
-from cantora.sources.tables import Tables, read_parquet
+from cantora.sources.tables import Tables, app_key, read_parquet
 
 MONEY = "decimal(14,2)"
 
@@ -221,11 +221,11 @@ def materialize_core(spark, sf_dir: str) -> str:
     for name in CORE:
         if name not in ("fct_sales", "fct_rebates", "fct_promo"):
             getattr(s, name).write.mode("overwrite").parquet(f"{folder}/{name}")
-    _MATERIALIZED[(spark.sparkContext.applicationId, sf_dir.rstrip("/"))] = folder
+    _MATERIALIZED[(app_key(spark), sf_dir.rstrip("/"))] = folder
     return folder
 
 
 def star(spark, sf_dir: str) -> Star:
     t = Tables(spark, sf_dir)
-    folder = _MATERIALIZED.get((spark.sparkContext.applicationId, t.sf_dir))
+    folder = _MATERIALIZED.get((app_key(spark), t.sf_dir))
     return StoredStar(t, folder) if folder else Star(t)

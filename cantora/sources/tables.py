@@ -24,11 +24,22 @@ FACT_GRAIN = {"lineitem", "orders", "events", "documents", "pages", "conversatio
 
 def spread(df: DataFrame) -> DataFrame:
     """Round-robin repartition to the default parallelism when a scan yields
-    fewer partitions than there are cores; a no-op for well-split inputs."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    fewer partitions than there are cores; a no-op for well-split inputs (and
+    where the session exposes no partition count, e.g. a remote client)."""
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - remote sessions have no RDD view
+        return df
+    return df.repartition(target) if parts < target else df
+
+
+def app_key(spark: SparkSession) -> str:
+    """Identity of the running application (cache scope)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001
+        return str(id(spark))
 
 
 # (application id, path) -> DataFrame. A DataFrame is an immutable plan, so one
@@ -37,7 +48,7 @@ _HANDLES: dict[tuple[str, str], DataFrame] = {}
 
 
 def read_parquet(spark: SparkSession, path: str, spread_scan: bool = False) -> DataFrame:
-    key = (spark.sparkContext.applicationId, path)
+    key = (app_key(spark), path)
     df = _HANDLES.get(key)
     if df is None:
         df = spark.read.parquet(path)
