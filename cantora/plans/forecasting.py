@@ -158,14 +158,18 @@ dfc AS (SELECT *, {UP_DEF} AS uplift_pred, {FC_DEF} AS forecast_units FROM feat)
 # --------------------------------------------------------------------------
 # Spark helpers shared by the queries
 # --------------------------------------------------------------------------
-def frame_of(star):
-    """The calibration frame, checkpointed (reliable, shared folder). It is
-    small (series x months) and every fit / scope / window of a query reads
-    it several times; the checkpoint cuts the two-mart lineage so it is built
-    once per query instead of once per use."""
-    from cantora.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(star.spark)
-    return fc.calibration_frame(star).checkpoint()
+def frame_of(star, many_uses: bool = False):
+    """The calibration frame. When a query reads it for many scopes (three
+    windows, three fits, ...) it is checkpointed (reliable, shared folder):
+    the two-mart lineage is built once instead of once per use. Within a
+    query with a couple of uses, Spark's exchange reuse already shares the
+    identical shuffles, and an eager checkpoint would only add a write."""
+    frame = fc.calibration_frame(star)
+    if many_uses:
+        from cantora.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(star.spark)
+        frame = frame.checkpoint()
+    return frame
 
 
 def features(star, promo_lag: int = 0):
@@ -229,7 +233,7 @@ SCOPE_FITS_SQL = f"""{BASE},
 
 
 def scope_fits(star):
-    frame = frame_of(star)
+    frame = frame_of(star, many_uses=True)
     feats = fc.add_features(frame)
     out = {}
     for name, group in (("global", ()), ("brand", ("brand",)), ("brand_canton", ("brand", "canton"))):

@@ -38,7 +38,7 @@ def q_params_canonical_keys(star):
 
 def _versions(star):
     from cantora.plans.forecasting import frame_of
-    frame = frame_of(star)
+    frame = frame_of(star, many_uses=True)
     feats = fc.add_features(frame)
     rows = []
     for level, group, weighted, stamp, method in (
