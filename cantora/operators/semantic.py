@@ -40,15 +40,23 @@ def fc_monthly(star) -> DataFrame:
 
 
 def canton_month(star) -> DataFrame:
-    """Both marts side by side at month x brand x canton (perf LEFT JOIN gtn)."""
-    p = marts.mart_brand_perf(star)
-    g = marts.mart_gtn_waterfall(star).select(*MONTH_GRAIN, "rebates_chf", "net_sales_chf")
-    j = p.join(g, MONTH_GRAIN, "left")
+    """Both marts side by side at month x brand x canton (perf LEFT JOIN gtn).
+
+    Built from one sales aggregate with rebates and promo left-joined, which
+    is the same relation as joining the two marts (their rows are both the
+    sales keys; missing rebates / promo are 0) but scans and aggregates the
+    sales fact once instead of twice."""
+    from cantora.operators.star import star_monthly
+    sales = star_monthly(star.fct_sales, star, {"units": "units", "gross": "gross_sales_chf"})
+    reb = star_monthly(star.fct_rebates, star, {"rebates": "rebate_chf"})
+    promo = star_monthly(star.fct_promo, star, {"promo": "spend_chf"})
+    zero = F.lit(0).cast("decimal(14,2)")
+    j = sales.join(reb, MONTH_GRAIN, "left").join(promo, MONTH_GRAIN, "left")
+    r = F.coalesce(F.col("rebates"), zero)
     return j.select(
         make_month(F.col("year"), F.col("month")).alias("month_start"), "brand", "canton",
-        F.col("units").alias("units"), F.col("gross_sales_chf").alias("gross"),
-        F.col("rebates_chf").alias("rebates"), F.col("net_sales_chf").alias("net"),
-        F.col("promo_spend").alias("promo"))
+        "units", "gross", r.alias("rebates"), (F.col("gross") - r).alias("net"),
+        F.coalesce(F.col("promo"), zero).alias("promo"))
 
 
 def brand_month(star) -> DataFrame:
