@@ -427,7 +427,7 @@ def q_scalar_strings(star):
 
 @star_query("scalar_math", with_star("""
 SELECT year, month, brand, canton, CAST(abs(abs_error_units) AS DOUBLE) AS abs_err,
-       CAST(GREATEST(0, uplift_units) AS DOUBLE) AS pos_uplift, NULLIF(actual_units, 0) AS nz_actual,
+       CAST(GREATEST(0, uplift_units) AS DOUBLE) AS pos_uplift, CAST(NULLIF(actual_units, 0) AS BIGINT) AS nz_actual,
        CAST(COALESCE(forecast_units, 0) AS DOUBLE) AS fc0,
        CASE WHEN actual_units > forecast_units THEN 'under' WHEN actual_units < forecast_units THEN 'over' ELSE 'exact' END AS bias,
        CAST(LEAST(GREATEST(uplift_units, CAST(-0.4 * actual_units AS DECIMAL(38,2))), CAST(0.5 * actual_units AS DECIMAL(38,2))) AS DOUBLE) AS clipped,
