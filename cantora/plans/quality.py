@@ -93,8 +93,10 @@ def q_dq_freshness(star):
     for p in parts[1:]:
         u = u.unionByName(p)
     as_of = F.lit(AS_OF).cast("timestamp_ntz")
-    # wall-clock difference of two NTZ timestamps: no session time zone involved
-    secs = F.timestamp_diff("SECOND", F.col("newest"), F.col("as_of"))
+    # whole seconds between two NTZ timestamps (second boundaries crossed, as
+    # date_diff counts them); no session time zone involved
+    secs = F.timestamp_diff("SECOND", F.date_trunc("second", F.col("newest")),
+                            F.date_trunc("second", F.col("as_of")))
     u = u.withColumn("as_of", as_of)
     return u.select("table_name", "newest", "as_of", r6(secs / 3600.0).alias("age_hours"),
                     F.when(F.col("newest").isNull(), "error")
