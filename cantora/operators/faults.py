@@ -54,10 +54,12 @@ def hex_int(h: Column, start: int, length: int = 8) -> Column:
     return F.conv(F.substring(h, start, length), 16, 10).cast("bigint")
 
 
-def _level(cands: DataFrame, digits: Column, prev: DataFrame) -> DataFrame:
+def _level(cands: DataFrame | None, digits: Column | None, prev: DataFrame,
+           hist: DataFrame | None = None) -> DataFrame:
     """Histogram of one hash level for the candidates of each stage and the
     running count: the bucket holding the r-th row and the residual rank."""
-    hist = cands.groupBy("stage", digits.alias("b")).agg(F.count(F.lit(1)).alias("c"))
+    if hist is None:
+        hist = cands.groupBy("stage", digits.alias("b")).agg(F.count(F.lit(1)).alias("c"))
     w = Window.partitionBy("stage").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
     hist = hist.withColumn("cum", F.sum("c").over(w)).join(F.broadcast(prev), "stage") \
         .filter(F.col("cum") >= F.col("r"))
@@ -71,25 +73,27 @@ def stage_cuts(base: DataFrame, key_col: str, stages: list[Stage], seed: str = S
     stage hash (NULL when k = 0).
 
     Three passes, each an aggregate whose output is bounded by a constant:
-    12-bit prefix histogram -> 16-bit sub-histogram inside the chosen bucket
-    -> distinct hashes inside the chosen sub-bucket (about n / 2^28 rows per
-    stage; identical copies collapse map-side). Running sums are windows over
-    those small frames only."""
+    12-bit prefix histogram (its counts also give n, so k needs no pass of
+    its own) -> 16-bit sub-histogram inside the chosen bucket -> distinct
+    hashes inside the chosen sub-bucket (about n / 2^28 rows per stage;
+    identical copies collapse map-side)."""
     hashes = F.array(*[F.struct(F.lit(i).alias("stage"), stage_hash(s.name, F.col(key_col), seed).alias("h"))
                        for i, s in enumerate(stages)])
     exploded = base.select(F.explode(hashes).alias("x")).select("x.stage", "x.h")
-    n = base.agg(F.count(F.lit(1)).alias("_n"))
-    ks = F.array(*[F.struct(F.lit(i).alias("stage"), F.lit(s.rate).alias("rate"),
-                            F.lit(s.at_least_one).alias("one")) for i, s in enumerate(stages)])
-    k = n.select(F.explode(ks).alias("s"), "_n").select(
-        F.col("s.stage").alias("stage"), F.lit("").alias("prefix"),
-        F.when(F.col("s.one"),
-               F.least(F.col("_n"), F.greatest(F.lit(1), F.floor(F.col("s.rate") * F.col("_n")))))
-        .otherwise(F.floor(F.col("s.rate") * F.col("_n"))).cast("bigint").alias("r")) \
-        .filter(F.col("r") > 0)
     # 12-bit first level: its map-side combine shrinks every task to <= 4096
     # buckets per stage; then 16 bits inside the chosen bucket; then the rest
-    t1 = _level(exploded, F.substring("h", 1, 3), k)
+    hist1 = exploded.groupBy("stage", F.substring("h", 1, 3).alias("b")).agg(F.count(F.lit(1)).alias("c"))
+    n = hist1.groupBy("stage").agg(F.sum("c").alias("_n"))
+    rates = base.sparkSession.createDataFrame(  # literal: one row per stage
+        [(i, float(s.rate), bool(s.at_least_one)) for i, s in enumerate(stages)],
+        "stage int, rate double, one boolean")
+    k = rates.join(n, "stage").select(
+        "stage", F.lit("").alias("prefix"),
+        F.when(F.col("one"),
+               F.least(F.col("_n"), F.greatest(F.lit(1), F.floor(F.col("rate") * F.col("_n")))))
+        .otherwise(F.floor(F.col("rate") * F.col("_n"))).cast("bigint").alias("r")) \
+        .filter(F.col("r") > 0)
+    t1 = _level(None, None, k, hist=hist1)
     c2 = exploded.join(F.broadcast(t1.select("stage", "prefix")), "stage") \
         .filter(F.substring("h", 1, 3) == F.col("prefix")).select("stage", "h")
     t2 = _level(c2, F.substring("h", 4, 4), t1)
