@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cantora.llm import quality
 from cantora.llm.minhash import near_duplicates
 
 
@@ -11,10 +12,32 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdict of every document."""
+    return quality.judge(table(spark, sf_dir, "documents")).drop("rejected_by")
+
+
+OP6_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+p AS (SELECT doc_id, unnest(w) AS x, generate_subscripts(w, 1) AS i FROM d),
+f AS (SELECT doc_id, i, [x, lead(x, 1) OVER o, lead(x, 2) OVER o, lead(x, 3) OVER o, lead(x, 4) OVER o] AS five FROM p WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+g AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, five) AS n FROM f WHERE five[5] IS NOT NULL),
+r AS (SELECT doc_id, count(DISTINCT p) AS n_repeat FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM g WHERE n > 1) GROUP BY doc_id),
+m AS (SELECT doc_id, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS word_chars,
+        length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols, length(t) - length(translate(t, '!', '')) AS n_excl,
+        [x FOR x IN string_split(t, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS lines,
+        coalesce(n_repeat, 0) AS n_repeat_words FROM d LEFT JOIN r USING (doc_id)),
+v AS (SELECT *, len(lines) - len(list_distinct(lines)) AS n_dup, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m),
+j AS (SELECT *, CASE WHEN base_failed THEN 'base' WHEN 100 * n_symbols > 10 * n_words THEN 'symbols' WHEN 100 * n_excl > 50 * n_words THEN 'exclaims'
+        WHEN 100 * n_dup > 30 * len(lines) THEN 'lines' WHEN word_chars > 100 * n_words THEN 'long_words' END AS rejected FROM v)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup::BIGINT AS n_dup_lines,
+       n_repeat_words::BIGINT AS n_repeat_words, base_failed, rejected IS NULL AS kept FROM j"""
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents linked at 85 % of shared 5-word shingles."""
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op10_minhash_near_dedup,)}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op6_quality_rules, op10_minhash_near_dedup)}
+ORACLES: dict[str, str] = {"op6_quality_rules": OP6_SQL}
