@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cantora.llm import quality
+from cantora.llm import packing, quality, sharding
 from cantora.llm.minhash import near_duplicates
 
 
@@ -12,6 +12,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 tokens."""
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of every document."""
     return quality.judge(table(spark, sf_dir, "documents")).drop("rejected_by")
@@ -34,10 +44,15 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
        n_repeat_words::BIGINT AS n_repeat_words, base_failed, rejected IS NULL AS kept FROM j"""
 
 
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 8 shards of near equal bytes, equal texts together."""
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents linked at 85 % of shared 5-word shingles."""
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op6_quality_rules, op10_minhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op6_quality_rules, op8_sharding, op10_minhash_near_dedup)}
 ORACLES: dict[str, str] = {"op6_quality_rules": OP6_SQL}
