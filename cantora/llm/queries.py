@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cantora.llm import packing, quality, sharding
+from cantora.llm import packing, pii, quality, sharding
 from cantora.llm.minhash import near_duplicates
 
 
@@ -22,6 +22,11 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: base counts and digest, and all spans."""
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of every document."""
     return quality.judge(table(spark, sf_dir, "documents")).drop("rejected_by")
@@ -54,5 +59,5 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op6_quality_rules, op8_sharding, op10_minhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op4_pii, op6_quality_rules, op8_sharding, op10_minhash_near_dedup)}
 ORACLES: dict[str, str] = {"op6_quality_rules": OP6_SQL}
