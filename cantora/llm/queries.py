@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cantora.llm import packing, pii, quality, sharding
+from cantora.llm import decontaminate, packing, pii, quality, sharding
 from cantora.llm.minhash import near_duplicates
 
 
@@ -27,6 +27,11 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold half of a benchmark item or more, in any order of its parts."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of every document."""
     return quality.judge(table(spark, sf_dir, "documents")).drop("rejected_by")
@@ -59,5 +64,5 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op4_pii, op6_quality_rules, op8_sharding, op10_minhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op4_pii, op5_decontamination, op6_quality_rules, op8_sharding, op10_minhash_near_dedup)}
 ORACLES: dict[str, str] = {"op6_quality_rules": OP6_SQL}
