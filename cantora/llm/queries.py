@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cantora.llm import decontaminate, packing, pii, quality, sharding
+from cantora.llm import decontaminate, packing, pii, quality, separators, sharding, warc
 from cantora.llm.minhash import near_duplicates
+from cantora.session import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +23,22 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC archives in the shared folder and read back."""
+    root = scratch_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), root)
+    return warc.read_archives(spark, root, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP3_SQL = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS b, sha1(coalesce(html, '')) AS h FROM pages),
+k AS (SELECT h, max(page_id) AS kept FROM p GROUP BY h),
+d AS (SELECT h, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + (('0x' || substr(h || '0', 1 + (5 * i) // 4, 2))::INTEGER >> (3 - (5 * i) % 4)) % 32, 1), '' ORDER BY i) AS digest
+      FROM k, range(32) r(i) GROUP BY h)
+SELECT page_id, octet_length(b)::BIGINT AS payload_bytes, digest AS payload_digest, CASE WHEN page_id = kept THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> kept THEN kept END AS refers_to FROM p JOIN k USING (h) JOIN d USING (h)"""
+
+
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document: base counts and digest, and all spans."""
     return pii.report(table(spark, sf_dir, "documents"))
@@ -54,6 +71,12 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
        n_repeat_words::BIGINT AS n_repeat_words, base_failed, rejected IS NULL AS kept FROM j"""
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count of every document, scanned from flat token files of all ``documents``."""
+    root = scratch_path(spark, "flat")
+    return separators.count_tokens(spark, separators.write_flat(table(spark, sf_dir, "documents"), tokenizer_path(), root), root)
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 8 shards of near equal bytes, equal texts together."""
     return sharding.shard(table(spark, sf_dir, "documents"))
@@ -64,5 +87,5 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op4_pii, op5_decontamination, op6_quality_rules, op8_sharding, op10_minhash_near_dedup)}
-ORACLES: dict[str, str] = {"op6_quality_rules": OP6_SQL}
+QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_warc, op4_pii, op5_decontamination, op6_quality_rules, op7_token_counts, op8_sharding, op10_minhash_near_dedup)}
+ORACLES: dict[str, str] = {"op3_warc": OP3_SQL, "op6_quality_rules": OP6_SQL}
