@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cantora.llm import decontaminate, packing, pii, quality, separators, sharding, warc
+from cantora.llm import decontaminate, packing, pii, quality, separators, sharding, suffixes, warc
 from cantora.llm.minhash import near_duplicates
 from cantora.session import scratch_path
 
@@ -82,10 +82,15 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes under 400-byte strings that start anywhere else, too."""
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents linked at 85 % of shared 5-word shingles."""
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_warc, op4_pii, op5_decontamination, op6_quality_rules, op7_token_counts, op8_sharding, op10_minhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_warc, op4_pii, op5_decontamination, op6_quality_rules, op7_token_counts, op8_sharding, op9_suffix_dedup, op10_minhash_near_dedup)}
 ORACLES: dict[str, str] = {"op3_warc": OP3_SQL, "op6_quality_rules": OP6_SQL}
