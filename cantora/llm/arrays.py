@@ -149,6 +149,17 @@ def shingle_sets(p: Piece, n: int = SHINGLE) -> Iterator[np.ndarray]:
             yield np.zeros(0, _U)
 
 
+def sliding_min(v: np.ndarray, w: int) -> np.ndarray:
+    """Minimum of every w consecutive uint64 values, by block-wise prefix and suffix minima."""
+    n = len(v) - w + 1
+    full = np.full(-(-len(v) // w) * w, np.iinfo(np.uint64).max, _U)
+    full[:len(v)] = v
+    blocks = full.reshape(-1, w)
+    ahead = np.minimum.accumulate(blocks, axis=1).ravel()
+    back = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    return np.minimum(back[:n], ahead[w - 1:w - 1 + n])
+
+
 def column_batches(batches: Iterator[pa.RecordBatch], schema: pa.Schema, work) -> Iterator[pa.RecordBatch]:
     """For mapInArrow: ``work(batch)`` yields tuples of columns in schema order."""
     for batch in batches:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cantora.llm import decontaminate, packing, pii, quality, separators, sharding, suffixes, warc
+from cantora.llm import decontaminate, packing, passages, pii, quality, separators, sharding, suffixes, warc
 from cantora.llm.minhash import near_duplicates
 from cantora.session import scratch_path
 
@@ -18,6 +18,11 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with passages of 50 words or more near another document's."""
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in sequences of at most 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -92,5 +97,5 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op3_warc, op4_pii, op5_decontamination, op6_quality_rules, op7_token_counts, op8_sharding, op9_suffix_dedup, op10_minhash_near_dedup)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_best_fit_packing, op3_warc, op4_pii, op5_decontamination, op6_quality_rules, op7_token_counts, op8_sharding, op9_suffix_dedup, op10_minhash_near_dedup)}
 ORACLES: dict[str, str] = {"op3_warc": OP3_SQL, "op6_quality_rules": OP6_SQL}

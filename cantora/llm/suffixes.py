@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cantora.llm.arrays import Piece, column_batches, mix, pieces, prefix_hash, span_hash
+from cantora.llm.arrays import Piece, column_batches, mix, pieces, prefix_hash, sliding_min, span_hash
 from cantora.llm.bits import bit_table, maybe_in
 from cantora.session import ensure_checkpoint_dir, scratch_path
 
@@ -33,17 +33,6 @@ _WINDOWS = 1 << 21   # windows hashed at once
 _U = np.uint64
 
 
-def _sliding_min(v: np.ndarray, w: int) -> np.ndarray:
-    """Minimum of every w consecutive values, by block-wise prefix and suffix minima."""
-    n = len(v) - w + 1
-    full = np.full(-(-len(v) // w) * w, np.iinfo(np.uint64).max, _U)
-    full[:len(v)] = v
-    blocks = full.reshape(-1, w)
-    ahead = np.minimum.accumulate(blocks, axis=1).ravel()
-    back = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(back[:n], ahead[w - 1:w - 1 + n])
-
-
 def anchors(p: Piece, length: int, gram: int):
     """(row, anchor, first window, last window, H, gram hash of each) in the piece's bytes."""
     n = len(p.data)
@@ -54,7 +43,7 @@ def anchors(p: Piece, length: int, gram: int):
     at = np.arange(n - gram + 1)
     grams = span_hash(h, at, at + gram)
     low = max(21, int(n).bit_length())
-    best = _sliding_min((grams & ~_U((1 << low) - 1)) | at.astype(_U), length - gram + 1) & _U((1 << low) - 1)
+    best = sliding_min((grams & ~_U((1 << low) - 1)) | at.astype(_U), length - gram + 1) & _U((1 << low) - 1)
     rows = np.repeat(np.arange(len(p.offsets) - 1), np.diff(p.offsets))
     begin = np.flatnonzero(rows[:n - length + 1] == rows[length - 1:])   # windows within one document
     best = best[begin].astype(np.int64)
