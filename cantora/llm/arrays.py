@@ -15,7 +15,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 SPACES = bytes([0x20, *range(0x09, 0x0E)])
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
+SLICE_ROWS = 512   # rows of a batch converted at once
 SHINGLE = 5
 
 _BASE = 0x9E3779B97F4A7C55 | 1
@@ -60,12 +61,14 @@ class Piece(NamedTuple):
 
 def pieces(column: pa.Array, most: int = PIECE_BYTES) -> Iterator[Piece]:
     """The column's texts (null: empty) in pieces of at most ``most`` bytes or one row."""
-    if isinstance(column, pa.ChunkedArray):
-        column = column.combine_chunks()
+    for k in range(0, len(column), SLICE_ROWS):
+        for p in _pieces(column.slice(k, SLICE_ROWS), most):
+            yield p._replace(first=k + p.first, last=k + p.last)
+
+
+def _pieces(column: pa.Array, most: int) -> Iterator[Piece]:
     column = pc.fill_null(column.cast(pa.large_string()), "")
     n = len(column)
-    if not n:
-        return
     bufs = column.buffers()
     offs = np.frombuffer(bufs[1], np.int64)[column.offset:column.offset + n + 1]
     data = np.frombuffer(bufs[2], np.uint8) if bufs[2] is not None else np.zeros(0, np.uint8)

@@ -29,7 +29,7 @@ from cantora.llm.bits import bit_table, maybe_in
 from cantora.session import ensure_checkpoint_dir, scratch_path
 
 LENGTH, GRAM, BATCHES = 400, 32, 4
-_WINDOWS = 1 << 21   # windows hashed at once
+_WINDOWS = 1 << 19   # windows hashed at once
 _U = np.uint64
 
 
@@ -66,9 +66,11 @@ def _binary(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
 def _entries(schema: pa.Schema, length: int, gram: int):
     def work(batch):
         for p in pieces(batch.column(1)):
-            row, c, _, _, _, _ = anchors(p, length, gram)
+            row, c, _, _, _, hashed = anchors(p, length, gram)
+            _, one, many = np.unique(hashed, return_index=True, return_counts=True)   # a periodic text has one at each byte
+            row, c = row[one], c[one]
             if len(c):
-                yield _binary(p.data, c, c + gram), batch.column(0).take(pa.array(p.first + row)), c - p.offsets[row]
+                yield _binary(p.data, c, c + gram), batch.column(0).take(pa.array(p.first + row)), c - p.offsets[row], many
     return lambda batches: column_batches(batches, schema, work)
 
 
@@ -91,9 +93,9 @@ class Index:
         while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
             (size, a), (_, b) = self.levels.pop(), self.levels.pop()
             self.levels.append((2 * size, self._store(a.unionByName(b))))
-        schema = pa.schema([("prefix", pa.binary()), ("key", pa.binary()), ("at", pa.int64())])
-        found = texts.select("key", "text").mapInArrow(_entries(schema, self.length, self.gram), "prefix binary, key binary, at long")
-        new = self._store(found.select("prefix", F.lit(1).cast("long").alias("n"), F.struct("key", "at").alias("first")))
+        schema = pa.schema([("prefix", pa.binary()), ("key", pa.binary()), ("at", pa.int64()), ("n", pa.int64())])
+        found = texts.select("key", "text").mapInArrow(_entries(schema, self.length, self.gram), "prefix binary, key binary, at long, n long")
+        new = self._store(found.select("prefix", "n", F.struct("key", "at").alias("first")))
         again = new.where("n > 1").select("prefix")
         for _, level in self.levels:
             again = again.unionByName(new.select("prefix").join(level.select("prefix"), "prefix"))
@@ -103,16 +105,23 @@ class Index:
         return self.spark.read.parquet(path)
 
 
-def _contexts(schema: pa.Schema, length: int, gram: int, sent):
+def _contexts(schema: pa.Schema, length: int, gram: int, sent, places: bool):
+    """(anchor, context hash) of the windows at anchors that may repeat: with each one's
+    place, or else once a piece with the bytes and how often they stand in it."""
     def work(batch):
         for p in pieces(batch.column(1)):
             row, c, s1, s2, h, hashed = anchors(p, length, gram)
             ok = maybe_in(sent.value, hashed)
             row, c, s1, s2, hashed = row[ok], c[ok], s1[ok], s2[ok], hashed[ok]
-            if len(c):
-                whole = mix(span_hash(h, s1, s2 + length) + (c - s1).astype(_U) * _U(0x9E3779B97F4A7C15) + (s2 - s1).astype(_U))
-                yield (hashed.view(np.int64), whole.view(np.int64), batch.column(0).take(pa.array(p.first + row)), s1 - p.offsets[row],
-                       (c - s1), (s2 - s1), _binary(p.data, s1, s2 + length))
+            whole = mix(span_hash(h, s1, s2 + length) + (c - s1).astype(_U) * _U(0x9E3779B97F4A7C15) + (s2 - s1).astype(_U))
+            if places:
+                yield hashed.view(np.int64), whole.view(np.int64), batch.column(0).take(pa.array(p.first + row)), s1 - p.offsets[row]
+                continue
+            _, one, many = np.unique(mix(hashed) ^ whole, return_index=True, return_counts=True)
+            c, s1, s2 = c[one], s1[one], s2[one]
+            for k in range(0, len(one), 4096):
+                i = slice(k, k + 4096)
+                yield (hashed[one][i].view(np.int64), whole[one][i].view(np.int64), (c - s1)[i], (s2 - s1)[i], many[i], _binary(p.data, s1[i], s2[i] + length))
     return lambda batches: column_batches(batches, schema, work)
 
 
@@ -173,7 +182,7 @@ def _compare(schema: pa.Schema, length: int):
     return work
 
 
-def _merged(spans: list, n: int) -> list[tuple[int, int]]:
+def _merged(spans: list) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for a, b in sorted(spans):
         if out and a <= out[-1][1]:
@@ -186,9 +195,9 @@ def _merged(spans: list, n: int) -> list[tuple[int, int]]:
 def _cut(schema: pa.Schema, with_text: bool):
     def work(batch):
         cols = [[] for _ in schema]
-        for doc, text, spans in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-            data = (text or "").encode()
-            gone = _merged([(x["a"], x["b"]) for x in spans or ()], len(data))
+        for doc, text, spans in zip(batch.column(0), batch.column(1), batch.column(2)):
+            doc, data = doc.as_py(), (text.as_py() or "").encode()
+            gone = _merged([(x["a"], x["b"]) for x in spans.as_py() or ()])
             kept, at = [], 0
             for a, b in gone:
                 kept.append(data[at:a])
@@ -230,14 +239,15 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batc
     one = pa.schema([("anchor", pa.int64())])
     hashed = again.mapInArrow(lambda b: column_batches(b, one, prefix_hashes), "anchor long").distinct().checkpoint()
     sent = spark.sparkContext.broadcast(bit_table(hashed, "anchor"))
-    schema = pa.schema([("anchor", pa.int64()), ("whole", pa.int64()), ("key", pa.binary()), ("s1", pa.int64()), ("c", pa.int64()), ("more", pa.int64()), ("context", pa.binary())])
-    found = long.select("key", "text").mapInArrow(_contexts(schema, length, gram, sent), "anchor long, whole long, key binary, s1 long, c long, more long, context binary")
-
-    kinds = found.groupBy("anchor", "whole").agg(F.count(F.lit(1)).alias("many"), F.first("c").alias("c"), F.first("more").alias("more"), F.first("context").alias("context"))
+    schema = pa.schema([("anchor", pa.int64()), ("whole", pa.int64()), ("c", pa.int64()), ("more", pa.int64()), ("many", pa.int64()), ("context", pa.binary())])
+    found = long.select("key", "text").mapInArrow(_contexts(schema, length, gram, sent, False), "anchor long, whole long, c long, more long, many long, context binary")
+    kinds = found.groupBy("anchor", "whole").agg(F.sum("many").alias("many"), F.first("c").alias("c"), F.first("more").alias("more"), F.first("context").alias("context"))
     kinds = kinds.repartition("anchor").sortWithinPartitions("anchor")
     schema = pa.schema([("anchor", pa.int64()), ("whole", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
     runs = kinds.select("anchor", "whole", "c", "more", "many", "context").mapInArrow(_compare(schema, length), "anchor long, whole long, a long, b long")
-    spans = found.select("anchor", "whole", "key", "s1").distinct().join(runs, ["anchor", "whole"]).select("key", (F.col("s1") + F.col("a")).alias("a"), (F.col("s1") + F.col("b")).alias("b"))
+    schema = pa.schema([("anchor", pa.int64()), ("whole", pa.int64()), ("key", pa.binary()), ("s1", pa.int64())])
+    places = long.select("key", "text").mapInArrow(_contexts(schema, length, gram, sent, True), "anchor long, whole long, key binary, s1 long").distinct()
+    spans = places.join(runs, ["anchor", "whole"]).select("key", (F.col("s1") + F.col("a")).alias("a"), (F.col("s1") + F.col("b")).alias("b"))
     gone = spans.groupBy("key").agg(F.collect_list(F.struct("a", "b")).alias("spans")).checkpoint()
 
     # only texts that may have spans are shuffled to them
@@ -253,7 +263,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, batc
     tagged = rows.withColumn("h", F.xxhash64("key"))
     out_schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()), ("kept", pa.binary())])
     near = tagged.mapInArrow(touched(True), tagged.schema).join(gone, "key", "left").select("doc_id", "text", "spans")
-    far = tagged.mapInArrow(touched(False), tagged.schema).select("doc_id", "text", F.lit(None).cast("array<struct<a:long,b:long>>").alias("spans"))
     types = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    out = far.unionByName(near).mapInArrow(_cut(out_schema, with_text), types)
+    cut = _cut(out_schema, with_text)
+    far = tagged.select("doc_id", "text", F.lit(None).cast("array<struct<a:long,b:long>>").alias("spans"), "h")
+    out = far.mapInArrow(lambda batches: cut(touched(False)(batches)), types).unionByName(near.mapInArrow(cut, types))
     return out if with_text else out.drop("kept")
