@@ -101,10 +101,11 @@ class Estimate(NamedTuple):
 
 
 def estimate(docs: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS) -> list[Estimate]:
-    """Cost and selectivity of each rule on the first ``sample_rows`` rows found,
-    best rejection per cost first (ties by name)."""
+    """Cost and selectivity of each rule on a random sample of about ``sample_rows``
+    rows, best rejection per cost first (ties by name)."""
     ensure_checkpoint_dir(docs.sparkSession)
-    sample = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t")).limit(sample_rows).checkpoint()
+    sample = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"))
+    sample = sample.sample(min(1.0, sample_rows / max(1, docs.count())), seed=1).checkpoint()
     rows = sample.count()
     out = []
     for rule in rules:
