@@ -11,8 +11,12 @@ from pyspark.sql import SparkSession
 
 def build_session(master: str | None = None, app: str = "cantora",
                   shuffle_partitions: int | None = None) -> SparkSession:
-    """Local/test session. On a cluster the submitter's configuration wins:
-    ``getOrCreate`` returns the existing session unchanged."""
+    """Local session for the bench and tests. An active session, and so a
+    cluster's, is returned with its settings as they are."""
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        ensure_checkpoint_dir(active)
+        return active
     cpus = os.environ.get("BENCH_CPUS", "8")
     master = master or f"local[{cpus}]"
     parts = shuffle_partitions or int(cpus)
@@ -38,10 +42,13 @@ def build_session(master: str | None = None, app: str = "cantora",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster names it; only when it is unset (local tests) do we create a
-    fresh scratch folder. Never a machine-local folder on a cluster."""
+    The cluster names it; only when it is unset and the master is local do we
+    create a fresh scratch folder. Executors on other machines would not see
+    a folder of the driver, so there it is an error."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.conf.get("spark.master", "").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="cantora-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     try:

@@ -191,7 +191,7 @@ _MATERIALIZED: dict[tuple[str, str], str] = {}
 
 class StoredStar(Star):
     """A star whose core tables were written once and are read back (the
-    reference's ``rps_core`` tables); raw driver tables stay reachable as ``t``."""
+    loaded core tables); raw driver tables stay reachable as ``t``."""
 
     def __init__(self, tables: Tables, folder: str):
         super().__init__(tables)

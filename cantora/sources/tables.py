@@ -16,24 +16,6 @@ TABLE_NAMES = (
 )
 
 
-# Tables whose size grows with the data (fact grain). On a cluster their scans
-# have thousands of splits; a file written as one row group (the small test
-# scales) yields a single split, so the scan is spread over the cores.
-FACT_GRAIN = {"lineitem", "orders", "events", "documents", "pages", "conversations"}
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin repartition to the default parallelism when a scan yields
-    fewer partitions than there are cores; a no-op for well-split inputs (and
-    where the session exposes no partition count, e.g. a remote client)."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - remote sessions have no RDD view
-        return df
-    return df.repartition(target) if parts < target else df
-
-
 def app_key(spark: SparkSession) -> str:
     """Identity of the running application (cache scope)."""
     try:
@@ -42,20 +24,9 @@ def app_key(spark: SparkSession) -> str:
         return str(id(spark))
 
 
-# (application id, path) -> DataFrame. A DataFrame is an immutable plan, so one
-# handle per file serves every query of the application (no re-listing).
-_HANDLES: dict[tuple[str, str], DataFrame] = {}
-
-
-def read_parquet(spark: SparkSession, path: str, spread_scan: bool = False) -> DataFrame:
-    key = (app_key(spark), path)
-    df = _HANDLES.get(key)
-    if df is None:
-        df = spark.read.parquet(path)
-        if spread_scan:
-            df = spread(df)
-        _HANDLES[key] = df
-    return df
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    """A scan of what the path holds now; its splits are Spark's."""
+    return spark.read.parquet(path)
 
 
 class Tables:
@@ -66,7 +37,7 @@ class Tables:
         self.sf_dir = sf_dir.rstrip("/")
 
     def read(self, name: str) -> DataFrame:
-        return read_parquet(self.spark, f"{self.sf_dir}/{name}.parquet", name in FACT_GRAIN)
+        return read_parquet(self.spark, f"{self.sf_dir}/{name}.parquet")
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLE_NAMES:

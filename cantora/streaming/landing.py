@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from cantora.session import scratch_path
 
 
 def text_schema(columns: list[str]) -> T.StructType:
@@ -26,11 +25,16 @@ def text_schema(columns: list[str]) -> T.StructType:
 
 def land_stream(spark: SparkSession, source_dir: str, columns: list[str], target_dir: str,
                 source_system: str = "erp", checkpoint: str | None = None,
-                once: bool = True) -> StreamingQuery:
-    """Start the landing stream; returns the running query."""
-    ckpt = checkpoint or scratch_path(spark, "landing-stream")
-    src = (spark.readStream.schema(text_schema(columns)).option("header", True)
-           .option("maxFilesPerTrigger", 64).csv(source_dir))
+                once: bool = True, files_per_trigger: int | None = None) -> StreamingQuery:
+    """Start the landing stream; returns the running query.
+
+    The checkpoint belongs to the target: unless given, it is the folder beside
+    it, so that a restart goes on where the last run stopped."""
+    ckpt = checkpoint or f"{target_dir.rstrip('/')}.checkpoint"
+    reader = spark.readStream.schema(text_schema(columns)).option("header", True)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    src = reader.csv(source_dir)
     out = src.select(*columns, F.lit(source_system).alias("source_system"),
                      F.col("_metadata.file_name").alias("source_file"),
                      F.current_timestamp().alias("raw_ingest_ts"))
