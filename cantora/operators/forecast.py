@@ -77,21 +77,14 @@ def baseline_uplift_fact(fct_sales: DataFrame, fct_rebates: DataFrame,
 # calibration frame and features (month grain, series = brand x canton)
 # --------------------------------------------------------------------------
 def calibration_frame(star) -> DataFrame:
-    """period, brand, canton, units, promo_spend, rebate_rate (doubles):
-    brand-perf mart LEFT JOIN the GTN mart; rebate rate 0 when gross <= 0 or
-    missing."""
-    from cantora.functions.dates import make_month
-    from cantora.operators.star import MONTH_GRAIN
-    from cantora.plans import marts
-    perf = marts.mart_brand_perf(star).select(
-        *MONTH_GRAIN, "units", F.coalesce("promo_spend", F.lit(0)).alias("promo_spend"))
-    gtn = marts.mart_gtn_waterfall(star).groupBy(*MONTH_GRAIN).agg(
-        F.sum("gross_sales_chf").alias("g"), F.sum("rebates_chf").alias("r"))
-    m = perf.join(gtn, MONTH_GRAIN, "left")
-    rr = F.when(F.col("g") > 0, F.col("r").cast("double") / F.col("g").cast("double")).otherwise(0.0)
-    return m.select(make_month(F.col("year"), F.col("month")).alias("period"), "brand", "canton",
+    """period, brand, canton, units, promo_spend, rebate_rate (doubles), from one
+    aggregate of each fact; rebate rate 0 when gross <= 0 or missing."""
+    from cantora.operators.semantic import canton_month
+    m = canton_month(star)
+    rr = F.when(F.col("gross") > 0, F.col("rebates").cast("double") / F.col("gross").cast("double")).otherwise(0.0)
+    return m.select(F.col("month_start").alias("period"), "brand", "canton",
                     F.col("units").cast("double").alias("units"),
-                    F.col("promo_spend").cast("double").alias("promo_spend"),
+                    F.col("promo").cast("double").alias("promo_spend"),
                     rr.alias("rebate_rate"))
 
 

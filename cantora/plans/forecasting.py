@@ -383,10 +383,9 @@ SELECT period, brand, canton, promo_spend, promo_spend AS promo_feat_lag0,
 FROM cal"""))
 def q_fc_promo_lag(star):
     """Promo feature at lag 0 and lag 1 month within each series."""
-    f1 = features(star, 1).select("period", "brand", "canton", F.col("promo_feat").alias("promo_feat_lag1"))
-    f0 = fc.calibration_frame(star).select("period", "brand", "canton", "promo_spend",
-                                           F.col("promo_spend").alias("promo_feat_lag0"))
-    return f0.join(f1, ["period", "brand", "canton"])
+    return features(star, 1).select("period", "brand", "canton", "promo_spend",
+                                    F.col("promo_spend").alias("promo_feat_lag0"),
+                                    F.col("promo_feat").alias("promo_feat_lag1"))
 
 
 def brand_metrics(star):
