@@ -82,11 +82,20 @@ def densify(df: DataFrame, group: str, date_col: str, values: list[str]) -> Data
 
 def yoy(df: DataFrame, keys: list[str], date_col: str, value: str,
         ly_name: str = "ly") -> DataFrame:
-    """Same period last year by a self left join on ``add_months(date, -12)``
-    (a 12-row lag would break on gaps)."""
-    prev = df.select(*keys, F.add_months(F.col(date_col), 12).alias(date_col),
-                     F.col(value).alias(ly_name))
-    return df.join(prev, [*keys, date_col], "left")
+    """Same month last year of a frame with one row per key and month: a RANGE
+    frame of exactly 12 months back, so a gap stays NULL and the frame is read
+    once. A row without a date has no last year."""
+    month = F.year(date_col) * 12 + F.month(date_col)
+    w = Window.partitionBy(*keys).orderBy(month).rangeBetween(-12, -12)
+    return df.withColumn(ly_name, F.when(F.col(date_col).isNotNull(), F.max(value).over(w)))
+
+
+def with_last_year(df: DataFrame, keys: list[str], date_col: str, value: str,
+                   ly_name: str = "ly") -> DataFrame:
+    """The rows of ``df`` that have a row a year earlier, with its value (which
+    may be NULL: the value is carried in a struct)."""
+    j = yoy(df.withColumn("_v", F.struct(F.col(value).alias("x"))), keys, date_col, "_v", "_ly")
+    return j.where(F.col("_ly").isNotNull()).withColumn(ly_name, F.col("_ly")["x"]).drop("_v", "_ly")
 
 
 def share_of_total(df: DataFrame, value: str, name: str = "share") -> DataFrame:

@@ -161,7 +161,7 @@ dfc AS (SELECT *, {UP_DEF} AS uplift_pred, {FC_DEF} AS forecast_units FROM feat)
 def frame_of(star, many_uses: bool = False):
     """The calibration frame. When a query reads it for many scopes (three
     windows, three fits, ...) it is checkpointed (reliable, shared folder):
-    the two-mart lineage is built once instead of once per use. Within a
+    its aggregates are built once instead of once per use. Within a
     query with a couple of uses, Spark's exchange reuse already shares the
     identical shuffles, and an eager checkpoint would only add a write."""
     frame = fc.calibration_frame(star)

@@ -176,7 +176,8 @@ FROM brand_m a LEFT JOIN brand_m b
 def q_join_yoy_self(star):
     """Self LEFT JOIN on month_start - 1 year, YoY growth (NULL if LY is 0)."""
     bm = semantic.brand_month(star).select("brand", "month_start", "net")
-    j = series.yoy(bm, ["brand"], "month_start", "net", "ly_net")
+    ly = bm.select("brand", F.add_months("month_start", 12).alias("month_start"), F.col("net").alias("ly_net"))
+    j = bm.join(ly, ["brand", "month_start"], "left")
     pct = F.when(F.col("ly_net").isNull() | (F.col("ly_net") == 0), F.lit(None).cast("double")) \
         .otherwise(F.col("net").cast("double") / F.col("ly_net").cast("double") - 1.0)
     return j.withColumn("yoy_pct", pct)

@@ -222,9 +222,7 @@ FROM v"""))
 def q_win_total(star):
     """Each brand's share of the total delta vs last year, SUM(x) OVER ()."""
     bm = semantic.brand_month(star).select("brand", "month_start", "net")
-    plan = bm.select("brand", F.add_months("month_start", 12).alias("month_start"),
-                     F.col("net").alias("ly"))
-    v = bm.join(plan, ["brand", "month_start"]).groupBy("brand").agg(
+    v = series.with_last_year(bm, ["brand"], "month_start", "net").groupBy("brand").agg(
         (F.sum("net") - F.sum("ly")).alias("delta"))
     return series.share_of_total(v, "delta", "share_of_delta")
 
