@@ -25,7 +25,7 @@ from cantora.llm.arrays import SHINGLE, column_batches, mix, pieces, shingle_set
 from cantora.llm.graph import components
 from cantora.session import ensure_checkpoint_dir
 
-ROWS, BANDS, BATCH = 8, 40, 32   # a pair at 0.85 shares no band with probability 3e-6
+ROWS, BANDS, BATCH = 6, 48, 32   # a pair at 0.80 shares no band with probability 5e-7
 HASHES = ROWS * BANDS
 BLOCK = 1024
 MISS = 1e-7

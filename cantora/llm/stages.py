@@ -13,6 +13,7 @@ from cantora.session import scratch_path
 
 #: packed sequences, and spans that a trained model adds, have no SQL form
 ORACLE_SQL = None
+NEAR_PERCENT = 80
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,9 +22,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one of smallest doc_id.
+    """One document of each group of near copies (five words, similarity 0.8) stays: the one of smallest doc_id.
     Rows without doc_id stay; rows that repeat a doc_id share its verdict."""
-    gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
+    gone = near_duplicates(docs, percent=NEAR_PERCENT).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
 
 

@@ -55,3 +55,20 @@ def test_odd_rows_and_empty_tables_pass_every_stage(spark, tmp_path):
             out = f(spark, frame(spark, rows), SF)
             assert len(out.collect()) <= max(len(rows), 0) or name == "pack"
     assert os.path.isdir(SF)
+
+
+def test_near_copies_from_four_fifths_on_go(spark):
+    import random
+
+    from test_minhash import brute
+
+    rng, rows = random.Random(6), []
+    for edits in (4, 4, 4, 4, 6):   # similarity 176/216 = 0.815, and 166/226 = 0.73
+        w = [f"p{rng.randrange(10**9)}" for _ in range(200)]
+        v = list(w)
+        for k in range(edits):
+            v[20 + 30 * k] = f"q{rng.randrange(10**9)}"
+        rows += [(len(rows), " ".join(w)), (len(rows) + 1, " ".join(v))]
+    got = {r.doc_id for r in stage(spark, "near_dedup", frame(spark, rows)).collect()}
+    groups = brute(rows, 80)
+    assert got == {i for i, _ in rows if groups[i] == i} == {0, 2, 4, 6, 8, 9}
