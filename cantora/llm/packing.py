@@ -118,7 +118,7 @@ def intervals(counts: dict[int, int], capacity: int) -> np.ndarray:
 
 def _cut(schema: pa.Schema, tokenizer: str, capacity: int, with_ids: bool):
     def work(batches):
-        encoder = Encoder(tokenizer)
+        encoder = Encoder(tokenizer, special=True)
 
         def rows(batch):
             cols = [[] for _ in schema]

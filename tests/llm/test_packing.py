@@ -96,3 +96,13 @@ def test_exact_fills_beat_greedy_halves():
 
 def test_empty_table(spark):
     assert packing.pack(frame(spark, []), JSON).collect() == []
+
+
+def test_special_token_strings_are_their_ids(spark):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(JSON)
+    texts = ["a<|endoftext|>b", "<|endoftext|>", "x <|endoftext|> y<|endoftext|><|endoftext|>", "w " * 30 + "<|endoftext|>", "y" * 3000 + "<|endoftext|> \n", "no special token", "<|endoftext|", ""]
+    ids = [[*t.encode(x, add_special_tokens=False).ids, 0] for x in texts]
+    assert 50256 in ids[0]
+    got = {r.doc_id: (r.length, r.ids_crc32) for r in packing.pack(frame(spark, list(enumerate(texts))), JSON).collect()}
+    assert got == {i: (len(x), zlib.crc32(np.array(x, "<u4").tobytes())) for i, x in enumerate(ids)}
