@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cantora.llm import decontaminate, packing, passages, pii, quality, separators, sharding, suffixes, warc
+from cantora.llm import decontaminate, lines, packing, passages, pii, quality, separators, sharding, suffixes, warc
 from cantora.llm.minhash import near_duplicates
 from cantora.session import scratch_path
 
@@ -97,5 +97,20 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_best_fit_packing, op3_warc, op4_pii, op5_decontamination, op6_quality_rules, op7_token_counts, op8_sharding, op9_suffix_dedup, op10_minhash_near_dedup)}
-ORACLES: dict[str, str] = {"op3_warc": OP3_SQL, "op6_quality_rules": OP6_SQL}
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its lines that five documents or more hold, but for the last of these."""
+    return lines.report(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+WITH s AS (SELECT chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) AS blanks),
+l AS (SELECT doc_id, i, x, translate(trim(x, blanks), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+      FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS x, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents), s),
+f AS (SELECT k, max(doc_id) AS last FROM l WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+j AS (SELECT doc_id, i, x, last IS NULL OR last = doc_id AS kept FROM l LEFT JOIN f USING (k))
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE NOT kept)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(x, chr(10) ORDER BY i) FILTER (WHERE kept), '')) AS kept_sha256 FROM j GROUP BY doc_id"""
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_best_fit_packing, op3_warc, op4_pii, op5_decontamination, op6_quality_rules, op7_token_counts, op8_sharding, op9_suffix_dedup, op10_minhash_near_dedup, op12_line_dedup)}
+ORACLES: dict[str, str] = {"op3_warc": OP3_SQL, "op6_quality_rules": OP6_SQL, "op12_line_dedup": OP12_SQL}

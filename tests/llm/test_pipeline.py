@@ -3,6 +3,7 @@ import os
 from helpers import ODD, frame
 
 import corpus_pipeline
+from cantora.llm import stages
 
 SF = "/root/testdata/sf0.001"
 
@@ -32,7 +33,7 @@ def test_run_equals_the_stages_by_hand(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     rows = [r for r in rows if good(r[1])[6]]
-    groups = near(rows)
+    groups = near(rows, stages.NEAR_PERCENT)
     rows = [r for r in rows if groups[r[0]] == r[0]]
     grams = {g for _, t in items for g in shingles(t)}
     hit = [r for r in rows if shingles(r[1]) & grams]       # others share no seed
