@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cantora.llm import decontaminate, lines, packing, passages, pii, quality, separators, sharding, suffixes, warc
+from cantora.llm import decontaminate, lines, merkle, packing, passages, pii, quality, separators, sharding, suffixes, warc
 from cantora.llm.minhash import near_duplicates
 from cantora.session import scratch_path
 
@@ -97,6 +97,50 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, root, proof and its check against planted tampering of every document."""
+    return merkle.manifest(table(spark, sf_dir, "documents"))
+
+
+def _field_sql(c: str) -> str:
+    return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END"
+
+
+OP11_SQL = f"""
+WITH RECURSIVE h AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS tree,
+         sha256({_field_sql('doc_id')} || {_field_sql('source')} || {_field_sql('lang')} || {_field_sql('n_chars')} || {_field_sql('text')}) AS leaf,
+         sha256({_field_sql('doc_id')} || {_field_sql('source')} || {_field_sql('lang')} || {_field_sql('(n_chars + 1)')} || {_field_sql('text')}) AS changed,
+         list_reduce(flatten([[4294967295]] || [[ascii(substr(doc_id::VARCHAR, i, 1)), -1, -1, -1, -1, -1, -1, -1, -1] FOR i IN generate_series(1, length(doc_id::VARCHAR))]),
+           lambda x, y: CASE WHEN y >= 0 THEN xor(x, y) ELSE xor(x >> 1, (x & 1) * 3988292384) END) AS crc
+  FROM documents),
+n AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM h),
+t AS (
+  SELECT tree, 0 AS l, pos AS i, leaf AS d, max(pos) OVER (PARTITION BY tree) AS top FROM n
+  UNION ALL SELECT tree, l + 1, i // 2, sha256(string_agg(d, '' ORDER BY i)), max(top) // 2 FROM t WHERE top > 0 GROUP BY tree, l + 1, i // 2),
+r AS (SELECT tree, d, row_number() OVER (ORDER BY tree) - 1 AS pos FROM t WHERE top = 0),
+u AS (
+  SELECT 0 AS l, pos AS i, d, max(pos) OVER () AS top FROM r
+  UNION ALL SELECT l + 1, i // 2, sha256(string_agg(d, '' ORDER BY i)), max(top) // 2 FROM u WHERE top > 0 GROUP BY l + 1, i // 2),
+w AS (
+  SELECT a.tree, a.l, a.i, CASE WHEN b.d IS NULL THEN 'N' WHEN b.i < a.i THEN 'L' || b.d ELSE 'R' || b.d END AS step
+  FROM t a LEFT JOIN t b ON a.tree = b.tree AND a.l = b.l AND b.i = xor(a.i, 1) WHERE a.top > 0
+  UNION ALL SELECT '.', a.l, a.i, CASE WHEN b.d IS NULL THEN 'N' WHEN b.i < a.i THEN 'L' || b.d ELSE 'R' || b.d END
+  FROM u a LEFT JOIN u b ON a.l = b.l AND b.i = xor(a.i, 1) WHERE a.top > 0),
+s AS (
+  SELECT n.tree, n.pos, w.l AS k, w.step FROM n JOIN w ON n.tree = w.tree AND w.i = n.pos >> w.l
+  UNION ALL SELECT n.tree, n.pos, 100 + w.l, w.step FROM n JOIN r ON n.tree = r.tree JOIN w ON w.tree = '.' AND w.i = r.pos >> w.l),
+p AS (SELECT tree, pos, list(step ORDER BY k) AS steps FROM s GROUP BY tree, pos),
+f AS (
+  SELECT n.doc_id, n.leaf, r.d AS subroot, (SELECT d FROM u WHERE top = 0) AS root, coalesce(steps, []) AS steps,
+         CASE WHEN crc IS NOT NULL AND xor(crc, 4294967295) % 7 = 0 THEN coalesce(changed, leaf) ELSE leaf END AS start
+  FROM n JOIN r ON n.tree = r.tree LEFT JOIN p ON n.tree = p.tree AND n.pos = p.pos),
+g AS (
+  SELECT *, sha256(array_to_string([substr(x, 2) FOR x IN steps], '')) AS proof_sha256,
+         list_reduce([start] || steps, lambda a, x: CASE WHEN x[1] = 'L' THEN sha256(substr(x, 2) || a) ELSE sha256(a || substr(x, 2)) END) AS folded_root FROM f)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM g"""
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without its lines that five documents or more hold, but for the last of these."""
     return lines.report(table(spark, sf_dir, "documents"))
@@ -112,5 +156,5 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE NOT kept)::BI
        sha256(coalesce(string_agg(x, chr(10) ORDER BY i) FILTER (WHERE kept), '')) AS kept_sha256 FROM j GROUP BY doc_id"""
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_best_fit_packing, op3_warc, op4_pii, op5_decontamination, op6_quality_rules, op7_token_counts, op8_sharding, op9_suffix_dedup, op10_minhash_near_dedup, op12_line_dedup)}
-ORACLES: dict[str, str] = {"op3_warc": OP3_SQL, "op6_quality_rules": OP6_SQL, "op12_line_dedup": OP12_SQL}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_best_fit_packing, op3_warc, op4_pii, op5_decontamination, op6_quality_rules, op7_token_counts, op8_sharding, op9_suffix_dedup, op10_minhash_near_dedup, op11_merkle_manifest, op12_line_dedup)}
+ORACLES: dict[str, str] = {"op3_warc": OP3_SQL, "op6_quality_rules": OP6_SQL, "op11_merkle_manifest": OP11_SQL, "op12_line_dedup": OP12_SQL}
