@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cantora.llm import decontaminate, lines, merkle, packing, passages, pii, quality, separators, sharding, suffixes, warc
+from cantora.llm import decontaminate, lines, merkle, packing, passages, pii, quality, repair, separators, sharding, suffixes, warc
 from cantora.llm.minhash import near_duplicates
 from cantora.session import scratch_path
 
@@ -156,5 +156,10 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (WHERE NOT kept)::BI
        sha256(coalesce(string_agg(x, chr(10) ORDER BY i) FILTER (WHERE kept), '')) AS kept_sha256 FROM j GROUP BY doc_id"""
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_best_fit_packing, op3_warc, op4_pii, op5_decontamination, op6_quality_rules, op7_token_counts, op8_sharding, op9_suffix_dedup, op10_minhash_near_dedup, op11_merkle_manifest, op12_line_dedup)}
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation after the planted damage."""
+    return repair.repair(table(spark, sf_dir, "conversations"))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_best_fit_packing, op3_warc, op4_pii, op5_decontamination, op6_quality_rules, op7_token_counts, op8_sharding, op9_suffix_dedup, op10_minhash_near_dedup, op11_merkle_manifest, op12_line_dedup, op13_conversation_repair)}
 ORACLES: dict[str, str] = {"op3_warc": OP3_SQL, "op6_quality_rules": OP6_SQL, "op11_merkle_manifest": OP11_SQL, "op12_line_dedup": OP12_SQL}
