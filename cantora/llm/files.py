@@ -5,6 +5,16 @@ from __future__ import annotations
 import uuid
 
 from pyarrow import fs
+from pyspark.sql import DataFrame
+
+from cantora.session import scratch_path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as a table in the shared folder, and read from there."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def store(uri: str) -> tuple[fs.FileSystem, str]:

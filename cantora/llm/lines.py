@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cantora.llm.files import written
+
 LEAST_CHARS = 40
 LEAST_DOCS = 5
 BLOCK_BITS = 12          # documents of a group: ids that agree above these bits
@@ -63,7 +65,7 @@ def bitmaps(docs: DataFrame, least_chars: int = LEAST_CHARS, least_docs: int = L
     it. Defined results: null and empty texts are one empty line; rows that share a
     doc_id are one document, and so are all rows without one, which is the smallest;
     repeated rows share a bitmap; other columns are not read; an empty table has no rows."""
-    occ = occurrences(docs, least_chars)
+    occ = written(occurrences(docs, least_chars), "line-hashes")   # texts are split and hashed once
     keys = frequent(occ, least_docs)
     gone = occ.join(keys, "key").where(~F.col("doc_id").eqNullSafe(F.col("last")))
     words = gone.groupBy("doc_id", "row", F.expr(f"pos div {WORD_BITS}").alias("word")).agg(
