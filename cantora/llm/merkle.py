@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cantora.llm.files import written
 from cantora.llm.ranks import number_within
-from cantora.session import scratch_path
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 BLOCK_BITS = 12
@@ -100,12 +100,6 @@ def _up(bits: int, table: pa.Table) -> pa.Table:
                      "digest": pa.array([top], pa.string())})
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def _blocks(nodes: DataFrame, bits: int) -> DataFrame:
     return nodes.withColumn("block", F.shiftright("pos", bits))
 
@@ -116,7 +110,7 @@ def rise(nodes: DataFrame, bits: int = BLOCK_BITS) -> list[DataFrame]:
     out = [nodes]
     while (out[-1].agg(F.max("pos")).first()[0] or 0) > 0:
         tops = _blocks(out[-1], bits).groupBy("tree", "block").applyInArrow(lambda t: _up(bits, t), "tree string, pos long, digest string")
-        out.append(_written(tops, "merkle-nodes"))
+        out.append(written(tops, "merkle-nodes"))
     return out
 
 
@@ -186,13 +180,13 @@ def manifest(docs: DataFrame, bits: int = BLOCK_BITS) -> DataFrame:
     hit = F.pmod(F.crc32(have["doc_id"].cast("string").cast("binary")), F.lit(TAMPER)) == 0
     leaves = docs.select(F.coalesce(F.concat(F.lit("="), have["lang"]), F.lit("")).alias("tree"), have["doc_id"].alias("doc_id"),
                          leaf_digest(have).alias("digest"), F.when(hit, leaf_digest(more)).alias("changed"))
-    leaves = _written(leaves, "merkle-hashed")     # texts are read once; what follows has digests only
-    leaves = _written(_numbered(leaves, "tree", ["doc_id", "digest"]), "merkle-leaves")
+    leaves = written(leaves, "merkle-hashed")     # texts are read once; what follows has digests only
+    leaves = written(_numbered(leaves, "tree", ["doc_id", "digest"]), "merkle-leaves")
 
     rounds = rise(leaves.select("tree", "pos", "digest"), bits)
     # a tree of one leaf has its top in every round; those of the last one are all
     subroots = rounds[-1].select(F.col("tree").alias("lang"), F.col("digest"))
-    langs = _written(_numbered(subroots.select(F.lit("").alias("tree"), "lang", "digest"), "tree", ["lang"]), "merkle-langs")
+    langs = written(_numbered(subroots.select(F.lit("").alias("tree"), "lang", "digest"), "tree", ["lang"]), "merkle-langs")
     above = rise(langs.select("tree", "pos", "digest"), bits)
     root = above[-1].first()
     suffixes = sink(above, above[-1].select("tree", "pos", F.lit("").alias("suffix")), bits)

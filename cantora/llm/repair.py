@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cantora.session import scratch_path
+from cantora.llm.files import written
 
 SPACES = " \\t\\n\\u000B\\f\\r"
 DELETE, REROLE, INSERT, EARLY = 2, 1, 5, 5
@@ -282,17 +282,11 @@ def segments(rows: DataFrame, most: int = SEGMENT) -> DataFrame:
     in segments of at most ``most`` rows numbered by seg, with what the counts need."""
     spread = symbols(rows).repartitionByRange("conv_id", "turn", "content").sortWithinPartitions("conv_id", "turn", "content")
     cut = spread.select("conv_id", "turn", "copies", "initial", "symbol", "blank", "repeated").mapInArrow(lambda it: _cut(it, most), SEGMENTS)
-    cut = _written(cut, "repair-segments")
+    cut = written(cut, "repair-segments")
     order = Window.partitionBy("conv_id").orderBy("part", "at")
     return cut.withColumns({"seg": (F.row_number().over(order) - 1).cast("long"), "before_initial": F.lag("last_initial").over(order), "before_turn": F.lag("last_turn").over(order)})
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 # ------------------------------------------------------------------ evaluation
 _ENTRIES = "array<struct<i:int,j:int,cost:long,audit:string>>"
 _ENTRY = pa.list_(pa.struct([("i", pa.int32()), ("j", pa.int32()), ("cost", pa.int64()), ("audit", pa.string())]))
@@ -328,14 +322,14 @@ def _join_up(t: pa.Table) -> pa.Table:
 
 def edits(segs: DataFrame) -> DataFrame:
     """conv_id, cost, audit of every conversation."""
-    segs = _written(segs.select("conv_id", "seg", "symbols").withColumn("many", F.max("seg").over(Window.partitionBy("conv_id")) > 0), "repair-forms")
-    forms = _written(segs.groupBy("symbols").agg(F.max("many").alias("many")), "repair-distinct")
+    segs = written(segs.select("conv_id", "seg", "symbols").withColumn("many", F.max("seg").over(Window.partitionBy("conv_id")) > 0), "repair-forms")
+    forms = written(segs.groupBy("symbols").agg(F.max("many").alias("many")), "repair-distinct")
     values = _evaluate(forms, learn(forms))
-    j = _written(segs.join(values, "symbols").select("conv_id", "seg", "many", "cost", "audit", "entries"), "repair-values")
+    j = written(segs.join(values, "symbols").select("conv_id", "seg", "many", "cost", "audit", "entries"), "repair-values")
     out, long = j.where("not many").select("conv_id", "cost", "audit"), j.where("many")
     schema = f"conv_id long, seg long, cost long, audit string, entries {_ENTRIES}"
     while (long.agg(F.max("seg")).first()[0] or 0) > 0:
-        long = _written(long.select("conv_id", "seg", "entries", F.expr(f"seg div {FAN_IN}").alias("to")).groupBy("conv_id", "to").applyInArrow(_join_up, schema), "repair-joined")
+        long = written(long.select("conv_id", "seg", "entries", F.expr(f"seg div {FAN_IN}").alias("to")).groupBy("conv_id", "to").applyInArrow(_join_up, schema), "repair-joined")
     return out.unionByName(long.select("conv_id", "cost", "audit"))
 
 
