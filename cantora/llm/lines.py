@@ -66,7 +66,8 @@ def bitmaps(docs: DataFrame, least_chars: int = LEAST_CHARS, least_docs: int = L
     doc_id are one document, and so are all rows without one, which is the smallest;
     repeated rows share a bitmap; other columns are not read; an empty table has no rows."""
     occ = written(occurrences(docs, least_chars), "line-hashes")   # texts are split and hashed once
-    keys = frequent(occ, least_docs)
+    # a scan on this side lets Spark split the rows of a hot key at run time
+    keys = written(frequent(occ, least_docs), "frequent-lines")
     gone = occ.join(keys, "key").where(~F.col("doc_id").eqNullSafe(F.col("last")))
     words = gone.groupBy("doc_id", "row", F.expr(f"pos div {WORD_BITS}").alias("word")).agg(
         F.bit_or(F.expr(f"shiftleft(1L, cast(pos % {WORD_BITS} as int))")).alias("bits"))
