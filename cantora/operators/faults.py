@@ -9,22 +9,20 @@ replay all of it, so every fault key has a full oracle.
 
 Scale: masks depend only on the clean row's key, so the cuts of all stages are
 found together in three aggregate passes over the base frame, each narrowing
-the hash range (12, then 16 bits: histogram -> running sum over at most 65,536
-buckets per stage -> the bucket holding the k-th row); the last pass keeps the
-distinct hashes of one sub-bucket (about n / 2^28 rows; identical copies
-collapse in the map-side combine).
-
-The cuts form a one-row frame (one column per stage, size proven) that is
-broadcast; every fault is then a column expression in one projection.
+the hash range (``stage_cuts``). The cuts are constants, one a stage; every fault
+is then a column expression in one projection.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cantora.session import ensure_checkpoint_dir
+
 # Fixed values of the reference's test-bed.
 SEED = "20250813"
 RATE_TYPES = 0.15
@@ -54,67 +52,68 @@ def hex_int(h: Column, start: int, length: int = 8) -> Column:
     return F.conv(F.substring(h, start, length), 16, 10).cast("bigint")
 
 
-def _level(cands: DataFrame | None, digits: Column | None, prev: DataFrame,
-           hist: DataFrame | None = None) -> DataFrame:
-    """Histogram of one hash level for the candidates of each stage and the
-    running count: the bucket holding the r-th row and the residual rank."""
-    if hist is None:
-        hist = cands.groupBy("stage", digits.alias("b")).agg(F.count(F.lit(1)).alias("c"))
+# digits of the hash that each level of the selection adds; the last takes the rest
+LEVELS = (3, 4, 25)
+
+
+def _candidates(base: DataFrame, key_col: str, stages: dict[int, Stage], prefix: dict[int, str], seed: str) -> DataFrame:
+    """(stage, h) of the rows whose hash starts with the stage's prefix (a constant)."""
+    rows = []
+    for i, s in stages.items():
+        h = stage_hash(s.name, F.col(key_col), seed)
+        row = F.struct(F.lit(i).alias("stage"), h.alias("h"))
+        rows.append(F.when(F.startswith(h, F.lit(prefix[i])), row) if prefix[i] else row)
+    x = F.explode(F.array_compact(F.array(*rows)))
+    return base.select(x.alias("x")).select("x.stage", "x.h")
+
+
+def stage_cuts(base: DataFrame, key_col: str, stages: list[Stage], seed: str = SEED) -> dict[str, str | None]:
+    """Name of each stage -> its k-th smallest hash (None when k = 0).
+
+    An iterative selection: each of three passes counts the next digits of the
+    hashes that share the prefix found so far (a histogram of at most 4,096, then
+    65,536 buckets a stage, summed map-side; at last the distinct hashes of one
+    sub-bucket, about n / 2^28 rows) and finds the bucket of the k-th row by a running
+    sum. One row a stage reaches the driver and enters the next pass as a constant,
+    so no plan nests the passes before it."""
+    left = dict(enumerate(stages))
+    prefix = {i: "" for i in left}
+    rank: dict[int, int] = {}
     w = Window.partitionBy("stage").orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
-    hist = hist.withColumn("cum", F.sum("c").over(w)).join(F.broadcast(prev), "stage") \
-        .filter(F.col("cum") >= F.col("r"))
-    return hist.groupBy("stage").agg(F.min(F.struct("b", "cum", "c", "r", "prefix")).alias("t")).select(
-        "stage", F.concat(F.col("t.prefix"), F.col("t.b")).alias("prefix"),
-        (F.col("t.r") - (F.col("t.cum") - F.col("t.c"))).alias("r"))
-
-
-def stage_cuts(base: DataFrame, key_col: str, stages: list[Stage], seed: str = SEED) -> DataFrame:
-    """One-row frame with a column ``cut_<i>`` per stage: the k-th smallest
-    stage hash (NULL when k = 0).
-
-    Three passes, each an aggregate whose output is bounded by a constant:
-    12-bit prefix histogram (its counts also give n, so k needs no pass of
-    its own) -> 16-bit sub-histogram inside the chosen bucket -> distinct
-    hashes inside the chosen sub-bucket (about n / 2^28 rows per stage;
-    identical copies collapse map-side)."""
-    hashes = F.array(*[F.struct(F.lit(i).alias("stage"), stage_hash(s.name, F.col(key_col), seed).alias("h"))
-                       for i, s in enumerate(stages)])
-    exploded = base.select(F.explode(hashes).alias("x")).select("x.stage", "x.h")
-    # 12-bit first level: its map-side combine shrinks every task to <= 4096
-    # buckets per stage; then 16 bits inside the chosen bucket; then the rest
-    hist1 = exploded.groupBy("stage", F.substring("h", 1, 3).alias("b")).agg(F.count(F.lit(1)).alias("c"))
-    n = hist1.groupBy("stage").agg(F.sum("c").alias("_n"))
-    rates = base.sparkSession.createDataFrame(  # literal: one row per stage
-        [(i, float(s.rate), bool(s.at_least_one)) for i, s in enumerate(stages)],
-        "stage int, rate double, one boolean")
-    k = rates.join(n, "stage").select(
-        "stage", F.lit("").alias("prefix"),
-        F.when(F.col("one"),
-               F.least(F.col("_n"), F.greatest(F.lit(1), F.floor(F.col("rate") * F.col("_n")))))
-        .otherwise(F.floor(F.col("rate") * F.col("_n"))).cast("bigint").alias("r")) \
-        .filter(F.col("r") > 0)
-    t1 = _level(None, None, k, hist=hist1)
-    c2 = exploded.join(F.broadcast(t1.select("stage", "prefix")), "stage") \
-        .filter(F.substring("h", 1, 3) == F.col("prefix")).select("stage", "h")
-    t2 = _level(c2, F.substring("h", 4, 4), t1)
-    c3 = exploded.join(F.broadcast(t2.select("stage", "prefix")), "stage") \
-        .filter(F.substring("h", 1, 7) == F.col("prefix")).select("stage", "h")
-    t3 = _level(c3, F.substring("h", 8, 25), t2)
-    cut = t3.select("stage", F.col("prefix").alias("cut"))
-    one = cut.groupBy().pivot("stage", list(range(len(stages)))).agg(F.first("cut"))
-    return one.select(*[F.col(str(i)).alias(f"cut_{i}") for i in range(len(stages))])
-
-
-def with_masks(base: DataFrame, key_col: str, stages: list[Stage], seed: str = SEED) -> DataFrame:
-    """Add ``_h<i>`` (stage hash) and boolean ``_m<i>`` (masked) columns."""
-    cuts = stage_cuts(base, key_col, stages, seed)
-    x = base.crossJoin(F.broadcast(cuts))
+    for k, digits in enumerate(LEVELS):
+        if not left:
+            break
+        c = _candidates(base, key_col, left, prefix, seed)
+        hist = c.groupBy("stage", F.substring("h", 1 + sum(LEVELS[:k]), digits).alias("b")).agg(F.count(F.lit(1)).alias("c"))
+        if k == 0:  # the counts of the first pass give n, and so the ranks
+            ensure_checkpoint_dir(base.sparkSession)
+            hist = hist.checkpoint()
+            n = {r.stage: r.n for r in hist.groupBy("stage").agg(F.sum("c").alias("n")).collect()}
+            for i, s in list(left.items()):
+                m = math.floor(s.rate * n.get(i, 0))
+                rank[i] = min(n.get(i, 0), max(1, m)) if s.at_least_one else m
+                if rank[i] == 0:
+                    del left[i]
+            if not left:
+                break
+        r = F.create_map(*[F.lit(x) for i in left for x in (i, rank[i])])[F.col("stage")]
+        found = hist.where(F.col("stage").isin(*left)).withColumn("cum", F.sum("c").over(w)).where(F.col("cum") >= r)
+        for x in found.groupBy("stage").agg(F.min(F.struct("b", "cum", "c")).alias("t")).select("stage", "t.*").collect():
+            prefix[x.stage] += x.b
+            rank[x.stage] -= x.cum - x.c
+    return {s.name: prefix[i] if i in left else None for i, s in enumerate(stages)}
+
+
+def with_masks(base: DataFrame, key_col: str, stages: list[Stage], seed: str = SEED, cuts: dict[str, str | None] | None = None) -> DataFrame:
+    """Add ``_h<i>`` (stage hash) and boolean ``_m<i>`` (masked) columns: one
+    projection, as the cuts are constants (found here unless given)."""
+    cuts = stage_cuts(base, key_col, stages, seed) if cuts is None else cuts
     cols = {}
     for i, s in enumerate(stages):
         h = stage_hash(s.name, F.col(key_col), seed)
         cols[f"_h{i}"] = h
-        cols[f"_m{i}"] = F.coalesce(h <= F.col(f"cut_{i}"), F.lit(False))
-    return x.withColumns(cols).drop(*[f"cut_{i}" for i in range(len(stages))])
+        cols[f"_m{i}"] = F.lit(False) if cuts[s.name] is None else h <= F.lit(cuts[s.name])
+    return base.withColumns(cols)
 
 
 # --------------------------------------------------------------------------
@@ -162,12 +161,12 @@ def chain_stages(numeric: list[str], fks: list[str], date_col: str | None,
 
 
 def mess(base: DataFrame, numeric: list[str], fks: list[str], date_col: str | None,
-         dupes: bool = True, key_col: str = "raw_key") -> DataFrame:
+         dupes: bool = True, key_col: str = "raw_key", cuts: dict[str, str | None] | None = None) -> DataFrame:
     """Apply the fault chain to a clean frame that carries ``key_col``; every
     business column comes out as TEXT. Duplicates are exact copies of the
     masked (already messed) rows, appended."""
     stages = chain_stages(numeric, fks, date_col, dupes)
-    x = with_masks(base, key_col, stages)
+    x = with_masks(base, key_col, stages, cuts=cuts)
     business = [c for c in base.columns if c != key_col]
     out = {}
     for c in business:

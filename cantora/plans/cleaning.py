@@ -120,7 +120,7 @@ def chain_sql(which: str, numeric=True, fk=True, dates=True, dupes=True, lineage
     sel = ", ".join(f"{v} AS {c}" for c, v in out.items())
     dup = f"COALESCE(h{len(stages) - 1} <= cut{len(stages) - 1}, FALSE)" if dupes else "FALSE"
     lin = (f", 'erp' AS source_system, '{fname}' AS source_file, "
-           f"(SELECT max(ts) FROM events) AS raw_ingest_ts") if lineage else ""
+           f"(SELECT max(ts) FROM events WHERE event_type = '{R.CLOCKS[which]}') AS raw_ingest_ts") if lineage else ""
     return f"""
 {p}_b AS (SELECT {', '.join(cols)}, {_key_sql(key_cols)} AS raw_key FROM {fact}),
 {p}_h AS (SELECT *{', ' + hashes if hashes else ''} FROM {p}_b),
@@ -171,9 +171,9 @@ def _raw(star, which):
 
 for _w in ("sales", "rebates", "promo", "forecast"):
     def _land(star, _w=_w):
-        return R.land(star.spark, _raw(star, _w), f"{_w}_raw")
-    _land.__doc__ = (f"Land ``{_w}_raw``: the {_w} fact through the fault chain, as TEXT with "
-                     "lineage and ingest time, written to a fresh folder and read back.")
+        return _raw(star, _w)
+    _land.__doc__ = (f"Land ``{_w}_raw``: the {_w} fact through the fault chain, as TEXT with lineage "
+                     "and ingest time, landed once as a batch of the ledger and read back.")
     star_query(f"raw_land_{_w}", with_star(f"""{chain_sql(_w)}
 SELECT {', '.join(RAW_TEXT_COLS[_w])} FROM raw_{_w}""", marts=False))(_land)
 
@@ -200,14 +200,14 @@ def q_cast_all_text(star):
     return R.as_text(p)
 
 
-@star_query("ingest_ts", with_star("""
-SELECT (SELECT max(ts) FROM events) AS raw_ingest_ts, CAST(COUNT(*) AS BIGINT) AS n_rows FROM fct_forecast""",
-    marts=False))
+@star_query("ingest_ts", with_star(",".join(chain_sql(w) for w in R.CLOCKS) + "\n" + " UNION ALL ".join(
+    f"SELECT '{w}_raw' AS table_name, raw_ingest_ts, CAST(COUNT(*) AS BIGINT) AS n_rows FROM raw_{w} GROUP BY raw_ingest_ts"
+    for w in R.CLOCKS), marts=False))
 def q_ingest_ts(star):
-    """Default ingest timestamp attached to a landed batch (newest event
-    time, a one-row frame broadcast to the rows), counted per stamp."""
-    f = R.ingest_ts(star.fct_forecast.select("date_id"), R.ingest_stamp(star.t))
-    return f.groupBy("raw_ingest_ts").agg(F.count(F.lit(1)).alias("n_rows"))
+    """Stamp and rows of every landed batch, as the ledger has them: the row of the
+    ledger is published by the commit that publishes the batch's data."""
+    star.warehouse.build_raw()
+    return star.warehouse.ledger().select("table_name", "raw_ingest_ts", "n_rows")
 
 
 # --------------------------------------------------------------------------
@@ -278,7 +278,9 @@ def q_fault_mask(star):
     key = faults.row_key(["order_key", "line_no", "date_id", "product_id", "region_id", "channel_id",
                           "units", "gross_sales_chf"])
     b = s.select("order_key", "line_no", "date_id", "gross_sales_chf", key.alias("raw_key"))
-    m = faults.with_masks(b, "raw_key", [faults.Stage("mask", faults.RATE_TYPES)])
+    stages = [faults.Stage("mask", faults.RATE_TYPES)]
+    cuts = star.warehouse.cuts("sales", stages, star.lines_version)
+    m = faults.with_masks(b, "raw_key", stages, cuts=cuts)
     return m.filter("_m0").select("order_key", "line_no", "date_id", "gross_sales_chf",
                                   F.col("_h0").alias("mask_hash"))
 
@@ -286,8 +288,9 @@ def q_fault_mask(star):
 def _partial(star, which, **kw):
     build, numeric, fks, _ = R.RAW_SPECS[which]
     base = R._date_for_mess(build(star))
+    cuts = star.warehouse.cuts(which, faults.chain_stages(numeric, fks, "date_id", True), star.warehouse.fact_version(which))
     return faults.mess(base, numeric if kw.get("numeric") else [], fks if kw.get("fk") else [],
-                       "date_id" if kw.get("dates") else None, dupes=kw.get("dupes", False))
+                       "date_id" if kw.get("dates") else None, dupes=kw.get("dupes", False), cuts=cuts)
 
 
 _SALES_TXT = "date_id, product_id, region_id, channel_id, units, list_price_chf, gross_sales_chf, raw_key"

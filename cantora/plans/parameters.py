@@ -10,6 +10,7 @@ from cantora.plans.forecasting import SCOPE_FITS_SQL, moments_sql, ols_sql
 from cantora.plans.oracle_sql import with_star
 from cantora.plans.registry import star_query
 from cantora.session import scratch_path
+from cantora.sources.store import Store
 
 # Version stamps of the two parameter saves in the registered example.
 T1 = "2025-01-01 00:00:00"
@@ -86,26 +87,25 @@ SELECT scope_level, scope_key1, scope_key2, alpha, beta, train_start, train_end,
        CAST(promo_lag AS INTEGER) AS promo_lag FROM newest"""))
 def q_params_upsert(star):
     """Two saves of fitted parameters (OLS at every scope, then WLS at the
-    global and brand scopes) upserted on the three-part key: the newest
-    version wins. The merged table is written to a fresh folder and read back."""
+    global and brand scopes) upserted on the three-part key: the newest version
+    wins. Both are commits of a versioned table, which is read back."""
+    return _saved(star).rows()
+
+
+def _saved(star) -> P.ParamTable:
     v = _versions(star)
-    old = v[0].unionByName(v[1]).unionByName(v[2])
-    new = v[3].unionByName(v[4])
-    merged = P.upsert(old, new)
-    path = scratch_path(star.spark, "forecast_params")
-    merged.write.mode("overwrite").parquet(path)
-    return star.spark.read.parquet(path)
+    table = P.ParamTable(Store(star.spark, scratch_path(star.spark, "forecast_params")))
+    table.save(v[0].unionByName(v[1]).unionByName(v[2]))
+    table.save(v[3].unionByName(v[4]))
+    return table
 
 
 @star_query("params_lookup", with_star(f"""{VERSIONS_SQL}
 SELECT scope_key1 AS brand, alpha, beta, fit_method, updated_at FROM newest WHERE scope_level = 'brand'"""))
 def q_params_lookup(star):
-    """``load_saved_params('brand', b)`` for every brand: the newest saved
-    row of each brand scope (all versions kept in the table)."""
-    v = _versions(star)
-    table = v[0]
-    for x in v[1:]:
-        table = table.unionByName(x)
-    n = P.newest(table.filter(F.col("scope_level") == "brand"))
-    return n.select(F.col("scope_key1").alias("brand"), "alpha", "beta", "fit_method", "updated_at")
-
+    """``load_saved_params('brand', b)`` for every brand of the mart: the newest
+    saved row of each brand scope, read from the parameter table."""
+    from cantora.plans import marts
+    brands = marts.mart_brand_perf(star).select(F.lit("brand").alias("scope_level"), F.col("brand").alias("k1"), F.lit(None).cast("string").alias("k2"))
+    found = P.lookup_each(_saved(star).rows(), brands)
+    return found.select(F.col("scope_key1").alias("brand"), "alpha", "beta", "fit_method", "updated_at")

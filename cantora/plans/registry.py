@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from cantora.sources.bridge import Star, star
+from cantora.sources.bridge import Star
+from cantora.sources.warehouse import star
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 

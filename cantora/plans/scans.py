@@ -15,6 +15,7 @@ from cantora.plans import marts
 from cantora.plans.oracle_sql import with_star
 from cantora.plans.registry import star_query
 from cantora.session import scratch_path
+from cantora.sources.store import derive, month_of
 
 # The reference's channel seed list.
 SEED_CHANNELS = ["Retail", "Hospital", "Specialty"]
@@ -82,12 +83,11 @@ SELECT year, month, brand, canton, CAST(gross_sales_chf AS DOUBLE) AS gross_sale
        CAST(rebates_chf AS DOUBLE) AS rebates_chf, CAST(net_sales_chf AS DOUBLE) AS net_sales_chf
 FROM mart_gtn_waterfall"""))
 def q_materialize_table(star):
-    """The GTN mart written as a table (replaced per build: a fresh folder)
-    and read back."""
-    m = marts.mart_gtn_waterfall(star)
-    path = scratch_path(star.spark, "mart_gtn_waterfall")
-    m.write.mode("overwrite").parquet(path)
-    return star.spark.read.parquet(path)
+    """The GTN mart as a published table: a version per build, of which only the
+    months that changed since the last one are rebuilt; readers see one version."""
+    store = star.warehouse.store("mart_gtn_waterfall")
+    month = lambda: month_of(F.make_date("year", "month", F.lit(1)))
+    return store.read(derive(store, star.lines_version, lambda months: marts.mart_gtn_waterfall(star.of_months(months)), month))
 
 
 @star_query("materialize_view", with_star("""

@@ -21,8 +21,8 @@ Scale: the fact build is lineitem x orders x customer x part, all equi-joins on
 keys. These sides grow with the data, so they are left to Catalyst + AQE
 (sort-merge, or a broadcast only when the runtime size is under the threshold).
 Dimensions that are small by construction (days of the calendar, brands,
-nations, priorities) are tagged for broadcast where they are joined, see
-``operators.star``.
+nations, priorities) are broadcast by Spark where it measures them to be small.
+Queries read the star as ``sources.warehouse`` publishes it.
 """
 
 from __future__ import annotations
@@ -33,7 +33,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cantora.functions.dates import week_start
-from cantora.sources.tables import Tables, app_key, read_parquet
+from cantora.sources.store import month_of
+from cantora.sources.tables import Tables
 
 MONEY = "decimal(14,2)"
 
@@ -45,9 +46,10 @@ def gross_money(price: Column) -> Column:
 class Star:
     """Lazily-built star schema: ``Star(Tables(spark, dir)).fct_sales`` ..."""
 
-    def __init__(self, tables: Tables):
+    def __init__(self, tables: Tables, months: list[str] | None = None):
         self.t = tables
         self.spark = tables.spark
+        self.months = months     # None: all; else the facts hold these months only
 
     # ------------------------------------------------------------------ base
     @cached_property
@@ -56,6 +58,8 @@ class Star:
         li = self.t.lineitem.select(
             "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity",
             "l_extendedprice", "l_discount", "l_tax", "l_shipdate")
+        if self.months is not None:
+            li = li.where(in_months("l_shipdate", self.months))
         o = self.t.orders.select(
             F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderpriority")
         c = self.t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
@@ -160,6 +164,16 @@ class Star:
                          F.col("o_orderpriority").alias("channel_name"))
 
 
+def in_months(col: str, months: list[str]) -> Column:
+    """Rows of these months; the range around them reaches the scan's filters."""
+    named = sorted(m for m in months if m != "none")
+    hit = month_of(F.col(col).cast("date")).isin(*months)
+    if named and "none" not in months:
+        last = F.add_months(F.lit(named[-1]).cast("date"), 1).cast("timestamp_ntz")
+        hit = hit & (F.col(col) >= F.lit(named[0]).cast("timestamp_ntz")) & (F.col(col) < last)
+    return hit
+
+
 def product_id_of(brand: Column) -> Column:
     return F.regexp_extract(brand, "[0-9]+", 0).cast("int")
 
@@ -180,52 +194,3 @@ def calendar_from_bounds(bounds: DataFrame, lo: str = "lo", hi: str = "hi") -> D
         F.trunc("date_id", "month").alias("month_start"),
         week_start(F.col("date_id")).alias("week_start"),
     )
-
-
-CORE = ["fct_sales", "fct_rebates", "fct_promo", "fct_forecast",
-        "dim_date", "dim_product", "dim_region", "dim_payer", "dim_channel"]
-
-# (spark application id, sf_dir) -> folder of a materialised core star
-_MATERIALIZED: dict[tuple[str, str], str] = {}
-
-
-class StoredStar(Star):
-    """A star whose core tables were written once and are read back (the
-    loaded core tables); raw driver tables stay reachable as ``t``."""
-
-    def __init__(self, tables: Tables, folder: str):
-        super().__init__(tables)
-        self.folder = folder
-
-    def __getattribute__(self, name):
-        if name in CORE:
-            from cantora.sources.tables import read_parquet
-            return read_parquet(self.spark, f"{object.__getattribute__(self, 'folder')}/{name}")
-        return object.__getattribute__(self, name)
-
-
-def materialize_core(spark, sf_dir: str) -> str:
-    """Build the core star from the driver tables, write every table to a
-    fresh folder under the shared checkpoint directory, and make ``star()``
-    serve it for this application and input folder."""
-    from cantora.session import scratch_path
-    t = Tables(spark, sf_dir)
-    folder = scratch_path(spark, "core")
-    # the joined line items are written once; each fact is a projection of them
-    Star(t).sales_lines.write.mode("overwrite").parquet(f"{folder}/_sales_lines")
-    s = Star(t)
-    s.__dict__["sales_lines"] = spark.read.parquet(f"{folder}/_sales_lines")
-    for name in ("fct_sales", "fct_rebates", "fct_promo"):
-        getattr(s, name).write.mode("overwrite").parquet(f"{folder}/{name}")
-        s.__dict__[name] = spark.read.parquet(f"{folder}/{name}")
-    for name in CORE:
-        if name not in ("fct_sales", "fct_rebates", "fct_promo"):
-            getattr(s, name).write.mode("overwrite").parquet(f"{folder}/{name}")
-    _MATERIALIZED[(app_key(spark), sf_dir.rstrip("/"))] = folder
-    return folder
-
-
-def star(spark, sf_dir: str) -> Star:
-    t = Tables(spark, sf_dir)
-    folder = _MATERIALIZED.get((app_key(spark), t.sf_dir))
-    return StoredStar(t, folder) if folder else Star(t)

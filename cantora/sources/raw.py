@@ -2,19 +2,18 @@
 
 ``as_text`` / ``add_lineage`` / ``ingest_ts`` are the landing primitives; the
 ``raw_*`` builders push a fact through the fault chain first (the reference's
-raw tables are messy on purpose). ``land`` writes a frame to a new folder
-under the shared checkpoint directory and reads it back (the bulk COPY).
+raw tables are messy on purpose). They are landed once, as batches with a
+ledger (``warehouse.Warehouse.raw``), and every later query reads what was landed.
 Staging views clean every cell with ``functions.clean``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cantora.functions.clean import clean_date, clean_int, clean_numeric, clean_text
 from cantora.operators import faults
-from cantora.session import scratch_path
 
 DEFAULT_SOURCE = "erp"
 
@@ -35,16 +34,13 @@ def ingest_ts(df: DataFrame, stamp: DataFrame) -> DataFrame:
     return df.crossJoin(F.broadcast(stamp.select(F.col(stamp.columns[0]).alias("raw_ingest_ts"))))
 
 
-def ingest_stamp(tables) -> DataFrame:
-    """The load's ingest timestamp: newest event time of the event stream."""
-    return tables.events.agg(F.max("ts").alias("raw_ingest_ts"))
+# The clock of each feed: its batches are stamped with the newest event of this type.
+CLOCKS = {"sales": "purchase", "rebates": "click", "promo": "view", "forecast": "signup"}
 
 
-def land(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write (overwrite semantics: a fresh folder per load) and read back."""
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+def ingest_stamp(tables, which: str) -> DataFrame:
+    """The ingest timestamp of a batch landed now: newest event of the feed's clock."""
+    return tables.events.where(F.col("event_type") == CLOCKS[which]).agg(F.max("ts").alias("raw_ingest_ts"))
 
 
 # clean-row builders: the reference's fact frames before messing
@@ -96,13 +92,18 @@ def _date_for_mess(df: DataFrame) -> DataFrame:
     return df.withColumn("date_id", F.to_date("date_id"))
 
 
-def raw_frame(star, which: str) -> DataFrame:
-    """``<which>_raw``: clean fact -> fault chain -> TEXT -> lineage + ingest ts."""
+def messed(star, which: str) -> DataFrame:
+    """The rows of a batch: clean fact -> fault chain -> TEXT -> lineage + ingest ts."""
     build, numeric, fks, fname = RAW_SPECS[which]
     base = _date_for_mess(build(star))
-    messed = faults.mess(base, numeric, fks, "date_id", dupes=True)
-    out = add_lineage(messed, DEFAULT_SOURCE, fname)
-    return ingest_ts(out, ingest_stamp(star.t))
+    cuts = star.warehouse.cuts(which, faults.chain_stages(numeric, fks, "date_id", True), star.warehouse.fact_version(which))
+    out = add_lineage(faults.mess(base, numeric, fks, "date_id", dupes=True, cuts=cuts), DEFAULT_SOURCE, fname)
+    return ingest_ts(out, ingest_stamp(star.t, which))
+
+
+def raw_frame(star, which: str) -> DataFrame:
+    """``<which>_raw`` as landed (``Warehouse.raw``): one scan."""
+    return star.warehouse.raw(which)
 
 
 # ------------------------------------------------------------------ staging

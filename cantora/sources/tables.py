@@ -16,14 +16,6 @@ TABLE_NAMES = (
 )
 
 
-def app_key(spark: SparkSession) -> str:
-    """Identity of the running application (cache scope)."""
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001
-        return str(id(spark))
-
-
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     """A scan of what the path holds now; its splits are Spark's."""
     return spark.read.parquet(path)

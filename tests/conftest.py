@@ -29,5 +29,5 @@ def spark():
 
 @pytest.fixture(scope="session")
 def star_small(spark):
-    from cantora.sources.bridge import star
+    from cantora.sources.warehouse import star
     return star(spark, SF_SMALL)
