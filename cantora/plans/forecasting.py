@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from cantora.functions.scalar import r6
 from cantora.operators import forecast as fc
 from cantora.operators import series
+from cantora.operators.quantiles import group_quantiles
 from cantora.plans.oracle_sql import R6, with_star
 from cantora.plans.registry import star_query
 
@@ -549,8 +550,7 @@ def q_fc_winsorize(star):
     """Cap actual uplift to its 5th / 95th percentile per brand (exact
     percentiles; NULL stays NULL)."""
     f = features(star).select("period", "brand", "canton", "uplift_actual")
-    q = f.filter(F.col("uplift_actual").isNotNull()).groupBy("brand").agg(
-        F.percentile("uplift_actual", [0.05, 0.95]).alias("q"))
+    q = group_quantiles(f, ["brand"], "uplift_actual", [0.05, 0.95]).select("brand", "q")
     j = f.join(q, "brand")
     from cantora.functions.scalar import clip
     return j.select("period", "brand", "canton", "uplift_actual",

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from cantora.functions.scalar import r6
 from cantora.operators import semantic
+from cantora.operators.quantiles import group_quantiles
 from cantora.plans import marts
 from cantora.plans.cleaning import chain_sql, stg_sql
 from cantora.plans.oracle_sql import R6, with_star
@@ -290,9 +291,9 @@ FROM canton_m c JOIN q ON c.brand = q.brand
 WHERE CAST(c.net AS DOUBLE) < q.q1 - 1.5 * (q.q3 - q.q1) OR CAST(c.net AS DOUBLE) > q.q3 + 1.5 * (q.q3 - q.q1)"""))
 def q_dq_outliers(star):
     """Canton-month net outside [Q1 - 1.5 IQR, Q3 + 1.5 IQR] of its brand
-    (exact quartiles per brand, joined back)."""
+    (exact quartiles per brand by histogram and refinement, joined back)."""
     c = semantic.canton_month(star).select("brand", "canton", "month_start", "net")
-    q = c.groupBy("brand").agg(F.percentile(F.col("net").cast("double"), [0.25, 0.75]).alias("q"))
+    q = group_quantiles(c, ["brand"], "net", [0.25, 0.75]).select("brand", "q")
     j = c.join(q, "brand")
     q1, q3 = F.col("q")[0], F.col("q")[1]
     lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
