@@ -204,27 +204,41 @@ def fit(train: DataFrame, method: str = "ols", group_cols=(), weighted: bool = F
     return solve(moments(train, group_cols, weighted), method, group_cols)
 
 
+# grid columns that one row's aggregates cover
+GRID_COLUMNS = 3
+
+
 def fit_grid(train: DataFrame, a_max: float = 0.02, b_min: float = -1.0, steps: int = 51,
              group_cols=()) -> DataFrame:
     """Least train MAPE over an a x b grid (np.linspace points built from the
-    integer index). Each training row is expanded to the steps^2 grid points
-    with ``explode`` (no join), errors are averaged per (group, grid point)
-    with map-side partial sums, and the arg-min keeps the first point in
-    (a, b) order among equal errors (errors rounded to 9 places first)."""
-    n_pts = steps * steps
-    k = F.explode(F.sequence(F.lit(0), F.lit(n_pts - 1))).alias("k")
-    x = train.select(*group_cols, "promo_feat", "rebate_pressure", "baseline_units", "units", k)
-    ia, ib = (F.col("k") / steps).cast("int"), F.col("k") % steps
+    integer index). A training row becomes one row a grid row and block of
+    columns, whose errors are the aggregates' columns: each task keeps the
+    partial sums of the whole grid as a few wide rows per group, merged like any
+    other partial aggregate, instead of steps^2 rows per training row. The
+    arg-min keeps the first point in (a, b) order among equal errors (errors
+    rounded to 9 places first)."""
     a_step, b_step = a_max / (steps - 1), (0.0 - b_min) / (steps - 1)
-    a = F.when(ia == steps - 1, F.lit(float(a_max))).otherwise(ia.cast("double") * a_step)
-    b = F.when(ib == steps - 1, F.lit(0.0)).otherwise(ib.cast("double") * b_step + b_min)
+    ia = F.explode(F.sequence(F.lit(0), F.lit(steps - 1))).alias("ia")
+    # few bytes, steps^2 times the work: without this they are put together in one task
+    spread = train.repartition(int(train.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    x = spread.select(*group_cols, "promo_feat", "rebate_pressure", "baseline_units", "units", ia)
+    a = F.when(F.col("ia") == steps - 1, F.lit(float(a_max))).otherwise(F.col("ia").cast("double") * a_step)
     act = F.col("units")
-    up = clip(a * F.col("promo_feat") + b * F.col("rebate_pressure"),
-              F.lit(UPLIFT_FLOOR) * act, F.lit(UPLIFT_CAP) * act)
-    fc = max0(F.col("baseline_units") + up)
-    ape = F.when(act > 0, F.abs((act - fc) / act) * 100.0)
-    per_pt = x.groupBy(*group_cols, "k").agg(F.avg(ape).alias("err"))
-    per_pt = per_pt.select(*group_cols, "k", r9(F.col("err")).alias("err"))
+    x = x.select(*group_cols, "ia", "rebate_pressure", "baseline_units", "units", (a * F.col("promo_feat")).alias("_a"),
+                 (F.lit(UPLIFT_FLOOR) * act).alias("_lo"), (F.lit(UPLIFT_CAP) * act).alias("_hi"))
+    firsts = list(range(0, steps, GRID_COLUMNS))
+    x = x.select("*", F.explode(F.array(*[F.lit(i) for i in firsts])).alias("ib0"))
+
+    def point(c: int) -> Column:
+        ib = F.col("ib0") + c
+        b = F.when(ib == steps - 1, F.lit(0.0)).otherwise(ib.cast("double") * b_step + b_min)
+        up = clip(F.col("_a") + b * F.col("rebate_pressure"), F.col("_lo"), F.col("_hi"))
+        return F.when(act > 0, F.abs((act - max0(F.col("baseline_units") + up)) / act) * 100.0)
+
+    wide = x.groupBy(*group_cols, "ia", "ib0").agg(*[F.avg(point(c)).alias(f"_e{c}") for c in range(GRID_COLUMNS)])
+    points = F.array(*[F.struct((F.col("ia") * steps + F.col("ib0") + c).alias("k"), r9(F.col(f"_e{c}")).alias("err"), (F.col("ib0") + c).alias("ib"))
+                       for c in range(GRID_COLUMNS)])
+    per_pt = wide.select(*group_cols, F.explode(points).alias("_p")).where(F.col("_p.ib") < steps).select(*group_cols, "_p.k", "_p.err")
     gk = per_pt.groupBy(*group_cols) if group_cols else per_pt.groupBy()
     best = gk.agg(F.min(F.struct(F.col("err"), F.col("k"))).alias("best"),
                   F.count("err").alias("_has"))

@@ -135,7 +135,7 @@ def q_dq_unique(star):
     return out
 
 
-# FK edges of the staging views: (child, column, parent dim, parent key)
+# FK edges of facts and staging views: (column, parent dim, parent key)
 EDGES = {
     "sales": [("date_id", "dim_date", "date_id"), ("product_id", "dim_product", "product_id"),
               ("region_id", "dim_region", "region_id"), ("channel_id", "dim_channel", "channel_id")],
@@ -148,52 +148,73 @@ EDGES = {
 }
 
 
-def fk_orphans(star, which: str, stg: DataFrame | None = None) -> DataFrame:
-    """Orphan counts of every FK edge of one staging view in a single pass:
-    the view is left-joined to each dimension (keys cast like the database
-    would) and ``count_if(key present and parent missing)`` per edge."""
-    s = stg if stg is not None else R.STAGING[which](R.raw_frame(star, which))
-    aggs = []
-    for col, dim, key in EDGES[which]:
-        d = getattr(star, dim).select(F.col(key).alias(f"_p_{col}")).distinct()
-        cast = s[col] if col == "date_id" else s[col].try_cast("bigint")
-        s = s.join(d, cast == F.col(f"_p_{col}"), "left")
-        aggs.append(F.count_if(F.col(col).isNotNull() & F.col(f"_p_{col}").isNull()).alias(col))
-    a = s.agg(F.count(F.lit(1)).alias("child_rows"), *aggs)
-    u = _unpivot(a, [c for c, _, _ in EDGES[which]], "column_name", "orphans")
-    parent = F.create_map(*[x for c, d, _ in EDGES[which] for x in (F.lit(c), F.lit(d))])[F.col("column_name")]
-    return u.select(F.lit(f"stg_{which}").alias("child"), "column_name", parent.alias("parent"),
-                    "child_rows", "orphans", (F.col("orphans") == 0).alias("ok"))
-
-
-def _fk_sql(which):
+def _key_text(c):
+    """One form of a key for every table: a number without its notation, a date, or the text as it is."""
+    text = c.cast("string")
+    return F.coalesce(F.when(text.rlike("^ *[+-]?[0-9]+ *$"), text.try_cast("decimal(38,0)").cast("string")), text)
+
+
+def fk_orphans(children: dict[str, tuple[DataFrame, list]], parents: dict[str, DataFrame]) -> DataFrame:
+    """child, column_name, parent, child_rows, null_keys, orphans, ok of every FK edge.
+
+    ``children`` maps a table's name to its frame and edges. Each table is scanned
+    once: its rows are stacked to (edge, key) and counted map-side, so that a hot
+    key leaves a task as one row. The distinct keys of all edges then meet the keys
+    of all dimensions in a single join. NULL keys are no orphans and counted apart."""
+    counts = []
+    for name, (df, edges) in children.items():
+        stack = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(d).alias("parent"), _key_text(F.col(c)).alias("key")) for c, d, _ in edges])
+        keys = df.select(F.explode(stack).alias("e")).select("e.*")
+        counts.append(keys.groupBy(F.lit(name).alias("child"), "column_name", "parent", "key").agg(F.count(F.lit(1)).alias("n")))
+    have = {(d, k) for _, edges in children.values() for _, d, k in edges}
+    known = [parents[d].select(F.lit(d).alias("_dim"), _key_text(F.col(k)).alias("_key")).distinct() for d, k in sorted(have)]
+    j = _union(counts).join(_union(known), (F.col("parent") == F.col("_dim")) & (F.col("key") == F.col("_key")), "left")
+    n = F.col("n")
+    out = j.groupBy("child", "column_name", "parent").agg(
+        F.sum(n).alias("child_rows"), F.sum(F.when(F.col("key").isNull(), n).otherwise(0)).alias("null_keys"),
+        F.sum(F.when(F.col("key").isNotNull() & F.col("_key").isNull(), n).otherwise(0)).alias("orphans"))
+    return out.withColumn("ok", F.col("orphans") == 0)
+
+
+def _union(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _dims(star) -> dict[str, DataFrame]:
+    return {d: getattr(star, d) for d in sorted({d for edges in EDGES.values() for _, d, _ in edges})}
+
+
+def _fk_sql(which, child="stg"):
     parts = []
     for col, dim, key in EDGES[which]:
         cast = f"s.{col}" if col == "date_id" else f"TRY_CAST(s.{col} AS BIGINT)"
         parts.append(
-            f"SELECT 'stg_{which}' AS child, '{col}' AS column_name, '{dim}' AS parent, "
-            f"(SELECT CAST(COUNT(*) AS BIGINT) FROM stg_{which}) AS child_rows, "
-            f"CAST(COUNT(*) AS BIGINT) AS orphans, COUNT(*) = 0 AS ok FROM stg_{which} s "
-            f"WHERE s.{col} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {dim} d WHERE d.{key} = {cast})")
+            f"SELECT '{child}_{which}' AS child, '{col}' AS column_name, '{dim}' AS parent, "
+            f"CAST(COUNT(*) AS BIGINT) AS child_rows, CAST(COUNT(*) FILTER (WHERE s.{col} IS NULL) AS BIGINT) AS null_keys, "
+            f"CAST(COUNT(*) FILTER (WHERE s.{col} IS NOT NULL AND d.{key} IS NULL) AS BIGINT) AS orphans, "
+            f"COUNT(*) FILTER (WHERE s.{col} IS NOT NULL AND d.{key} IS NULL) = 0 AS ok "
+            f"FROM {child}_{which} s LEFT JOIN (SELECT DISTINCT {key} FROM {dim}) d ON d.{key} = {cast}")
     return " UNION ALL ".join(parts)
 
 
 @star_query("dq_relationships", with_star(
-    ",".join(stg_sql(w) for w in EDGES) + "\n" + " UNION ALL ".join(_fk_sql(w) for w in EDGES), marts=False))
+    ",".join(stg_sql(w) for w in EDGES) + "\n" + " UNION ALL ".join([_fk_sql(w) for w in EDGES] + [_fk_sql(w, "fct") for w in EDGES]), marts=False))
 def q_dq_relationships(star):
-    """Every FK edge of the four staging views: one result row per edge with
-    its orphan count (the broken keys of the fault chain show up here)."""
-    out = None
-    for w in EDGES:
-        p = fk_orphans(star, w)
-        out = p if out is None else out.unionByName(p)
-    return out
+    """Every FK edge of the four staging views and of the four core facts: one result
+    row per edge with its NULL keys and orphans (the broken keys of the fault chain
+    show up in staging)."""
+    children = {f"stg_{w}": (R.STAGING[w](R.raw_frame(star, w)), EDGES[w]) for w in EDGES}
+    children |= {f"fct_{w}": (getattr(star, f"fct_{w}"), EDGES[w]) for w in EDGES}
+    return fk_orphans(children, _dims(star))
 
 
 @star_query("dq_orphans", with_star(stg_sql("sales") + "\n" + _fk_sql("sales"), marts=False))
 def q_dq_orphans(star):
     """Sales staging rows without a dimension row, per FK edge."""
-    return fk_orphans(star, "sales")
+    return fk_orphans({"stg_sales": (R.stg_sales(R.raw_frame(star, "sales")), EDGES["sales"])}, _dims(star))
 
 
 @star_query("join_anti_orphans", with_star(stg_sql("sales") + """

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cantora.operators import keys, semantic, series
+from cantora.operators.profile import profiles
 from cantora.plans import marts
 from cantora.plans.oracle_sql import with_star
 from cantora.plans.registry import star_query
@@ -56,11 +57,12 @@ SELECT ROW_NUMBER() OVER (ORDER BY order_key, line_no, date_id, product_id, regi
        order_key, line_no, date_id, CAST(gross_sales_chf AS DOUBLE) AS gross_sales_chf
 FROM fct_sales""", marts=False))
 def q_surrogate_key(star):
-    """Dense serial key 1..n over the sales fact in business-key order,
-    computed without a single-partition window (``keys.dense_key``)."""
+    """Serial keys over the sales fact, 1..n in business-key order on the first load.
+    They are kept in a published key map: a later load keeps the keys given
+    and numbers only new rows, after the largest one."""
     s = star.fct_sales.select("order_key", "line_no", "date_id", "product_id", "region_id", "channel_id",
                               "units", "gross_sales_chf")
-    k = keys.dense_key(s, s.columns, "sales_id")
+    k = keys.KeyMap(star.warehouse.store("keys_fct_sales"), s.columns, "sales_id").keyed(s, star.lines_version["parts"])
     return k.select("sales_id", "order_key", "line_no", "date_id", "gross_sales_chf")
 
 
@@ -143,45 +145,37 @@ def q_table_head(star):
     return s.orderBy(*[F.desc(c) for c in HEAD_ORDER]).limit(10)
 
 
-PROFILE_COLS = ["order_key", "line_no", "date_id", "product_id", "region_id", "channel_id", "units",
-                "list_price_chf", "gross_sales_chf"]
-
-
-def profile(df, cols: list[str]):
-    """Data profile of a table in one aggregate: rows, non-nulls, nulls,
-    exact distinct count, min and max (as text) per column, unpivoted."""
-    aggs = [F.count(F.lit(1)).alias("n_rows")]
-    for c in cols:
-        aggs += [F.count(c).alias(f"{c}__nn"), F.countDistinct(c).alias(f"{c}__nd"),
-                 F.min(c).cast("string").alias(f"{c}__min"), F.max(c).cast("string").alias(f"{c}__max")]
-    a = df.agg(*aggs)
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    arr = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(types[c]).alias("data_type"),
-                             F.col(f"{c}__nn").alias("non_null"), F.col(f"{c}__nd").alias("n_distinct"),
-                             F.col(f"{c}__min").alias("min_value"), F.col(f"{c}__max").alias("max_value"))
-                    for c in cols])
-    return a.select("n_rows", F.explode(arr).alias("x")).select(
-        "x.column_name", "x.data_type", "n_rows", "x.non_null", (F.col("n_rows") - F.col("x.non_null")).alias("nulls"),
-        "x.n_distinct", "x.min_value", "x.max_value")
+CATALOG = ["dim_date", "dim_product", "dim_region", "dim_payer", "dim_channel", "fct_sales", "fct_rebates",
+           "fct_promo", "fct_forecast"]
 
 
-_TYPES = {"order_key": "bigint", "line_no": "int", "date_id": "date", "product_id": "int", "region_id": "int",
-          "channel_id": "int", "units": "int", "list_price_chf": "decimal(12,2)", "gross_sales_chf": "decimal(14,2)"}
+_TYPES = {  # column types of the star, as Spark names them
+    "dim_date": {"date_id": "date", "year": "int", "month": "int", "week": "int", "month_start": "date", "week_start": "date"},
+    "dim_product": {"product_id": "int", "brand": "string", "molecule": "string", "atc_code": "string", "indication": "string", "launch_date": "date"},
+    "dim_region": {"region_id": "int", "canton": "string", "language_region": "string"},
+    "dim_payer": {"payer_id": "bigint", "payer_name": "string", "payer_type": "string"},
+    "dim_channel": {"channel_id": "int", "channel_name": "string"},
+    "fct_sales": {"order_key": "bigint", "line_no": "int", "date_id": "date", "product_id": "int", "region_id": "int", "channel_id": "int",
+                  "units": "int", "list_price_chf": "decimal(12,2)", "gross_sales_chf": "decimal(14,2)"},
+    "fct_rebates": {"order_key": "bigint", "line_no": "int", "date_id": "date", "product_id": "int", "payer_id": "bigint", "region_id": "int",
+                    "rebate_chf": "decimal(14,2)"},
+    "fct_promo": {"order_key": "bigint", "line_no": "int", "date_id": "date", "product_id": "int", "region_id": "int", "channel_id": "int",
+                  "spend_chf": "decimal(14,2)", "touchpoints": "int"},
+    "fct_forecast": {"date_id": "date", "product_id": "int", "region_id": "int", "baseline_units": "decimal(12,2)", "uplift_units": "decimal(12,2)",
+                     "forecast_units": "decimal(12,2)"},
+}
 
 
 @star_query("table_profile", with_star(" UNION ALL ".join(
-    f"SELECT '{c}' AS column_name, '{_TYPES[c]}' AS data_type, CAST(COUNT(*) AS BIGINT) AS n_rows, "
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{kind}' AS data_type, CAST(COUNT(*) AS BIGINT) AS n_rows, "
     f"CAST(COUNT({c}) AS BIGINT) AS non_null, CAST(COUNT(*) - COUNT({c}) AS BIGINT) AS nulls, "
-    f"CAST(COUNT(DISTINCT {c}) AS BIGINT) AS n_distinct, CAST(min({c}) AS VARCHAR) AS min_value, "
-    f"CAST(max({c}) AS VARCHAR) AS max_value FROM fct_sales" for c in PROFILE_COLS), marts=False))
+    f"CAST(min({c}) AS VARCHAR) AS min_value, CAST(max({c}) AS VARCHAR) AS max_value, COUNT({c}) < COUNT(*) AS has_nulls, "
+    f"COUNT(*) > 0 AND COUNT(DISTINCT {c}) = COUNT(*) AS is_key FROM {t}" for t, cols in _TYPES.items() for c, kind in cols.items()), marts=False))
 def q_table_profile(star):
-    """Per-column overview of the sales fact: type, rows, nulls, distinct
-    values, min and max."""
-    return profile(star.fct_sales.select(*PROFILE_COLS), PROFILE_COLS)
-
-
-CATALOG = ["dim_date", "dim_product", "dim_region", "dim_payer", "dim_channel", "fct_sales", "fct_rebates",
-           "fct_promo", "fct_forecast"]
+    """Overview of all tables of the star: type, rows, NULLs, least and greatest value,
+    nullability and key flag of every column (the sketched distinct counts, which
+    SQL can't repeat exactly, stay with ``profile.profiles``)."""
+    return profiles({t: getattr(star, t) for t in CATALOG}).drop("approx_distinct")
 
 
 @star_query("catalog_coverage", with_star(f"""

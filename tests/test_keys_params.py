@@ -37,3 +37,39 @@ def test_upsert_newest_wins_and_lookup(spark):
     assert P.lookup(old, "brand", "B2").count() == 0
     k1, k2 = P.canonical_keys(F.lit("global"), F.lit("x"), F.lit("y"))
     assert spark.range(1).select(k1, k2).collect()[0][:] == ("__GLOBAL__", "__GLOBAL__")
+
+
+def test_keys_stay_over_loads(spark, tmp_path):
+    from cantora.sources.store import Store
+    m = keys.KeyMap(Store(spark, f"{tmp_path}/keys"), ["a", "b"], "sk")
+
+    def load(rows, version):
+        return {(r.a, r.b): r.sk for r in m.keyed(spark.createDataFrame(rows, "a int, b string"), version).collect()}
+
+    one = load([(3, "x"), (1, None), (2, "y"), (2, "y"), (None, "z")], {"v": 1})
+    assert one == {(None, "z"): 1, (1, None): 2, (2, "y"): 3, (3, "x"): 4}
+    assert load([(9, "unread")], {"v": 1}) == one                      # the same version is not looked at again
+    two = load([(3, "x"), (0, "new"), (1, None), (5, "new")], {"v": 2})
+    assert two == {(1, None): 2, (3, "x"): 4, (0, "new"): 5, (5, "new"): 6}
+    assert load([(2, "y"), (None, "z"), (7, "q")], {"v": 3}) == {(None, "z"): 1, (2, "y"): 3, (7, "q"): 7}
+    assert load([], {"v": 4}) == {}
+
+
+def test_profile_of_any_table(spark):
+    from cantora.operators.profile import profiles
+    df = spark.createDataFrame([(k, k // 2, None if k == 3 else k, f"t{k:05}", None) for k in range(5000)], "id long, half int, `odd name` int, s string, none double")
+    got = {r.column_name: r for r in profiles({"t": df, "empty": df.limit(0)}).where("table_name = 't'").collect()}
+    assert {c for c, r in got.items() if r.is_key} == {"id", "s"} and {c for c, r in got.items() if r.has_nulls} == {"odd name", "none"}
+    assert got["s"].max_value == "t04999" and got["none"].min_value is None and got["odd name"].nulls == 1
+    assert abs(got["half"].approx_distinct - 2500) < 100
+    near = spark.range(5000).select(F.when(F.col("id") == 77, 78).otherwise(F.col("id")).alias("v"))     # one value twice: no key
+    assert not profiles({"near": near}).first().is_key
+
+
+def test_relationships_count_null_keys_apart(spark):
+    from cantora.plans.quality import fk_orphans
+    child = spark.createDataFrame([("1", "2024-01-01"), (" 01 ", "2024-01-01"), (None, None), ("9", "2024-01-02"), ("x1", "2024-01-02")] + [("2", "2024-01-01")] * 50, "p string, d string")
+    edges = [("p", "dim_p", "id"), ("d", "dim_d", "d")]
+    dims = {"dim_p": spark.createDataFrame([(1,), (2,), (2,)], "id int"), "dim_d": spark.sql("SELECT DATE'2024-01-01' AS d")}
+    got = {(r.child, r.column_name): (r.child_rows, r.null_keys, r.orphans, r.ok) for r in fk_orphans({"a": (child, edges), "b": (child.limit(0), edges)}, dims).collect()}
+    assert got == {("a", "p"): (55, 1, 2, False), ("a", "d"): (55, 1, 2, False)}
