@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cantora.functions.scalar import cents, clip, max0
+from cantora.session import scratch_path
 
 # Fixed values of the reference's forecast.
 DEFAULT_ALPHA = 0.003
@@ -109,11 +110,12 @@ def forecast_with(df: DataFrame, a: Column, b: Column) -> DataFrame:
         "forecast_units", max0(F.col("baseline_units") + F.col("uplift_pred")))
 
 
-def default_window(frame: DataFrame, group_cols=()) -> DataFrame:
+def default_window(frame: DataFrame, group_cols=(), hold_out: int = 0) -> DataFrame:
     """Default training window per scope: from max(first period, last period
-    - 12 months) to the last period."""
+    - 12 months) to the last period. With ``hold_out`` the last so many months stay
+    after the window, for validation."""
     g = frame.groupBy(*group_cols) if group_cols else frame.groupBy()
-    b = g.agg(F.min("period").alias("_pmin"), F.max("period").alias("_pmax"))
+    b = g.agg(F.min("period").alias("_pmin"), F.add_months(F.max("period"), -hold_out).alias("_pmax"))
     return b.select(*group_cols,
                     F.greatest("_pmin", F.add_months("_pmax", -12)).alias("train_start"),
                     F.col("_pmax").alias("train_end"))
@@ -131,21 +133,42 @@ def train_rows(feats: DataFrame, window: DataFrame, group_cols=()) -> DataFrame:
     return j.na.drop(subset=["baseline_units", "promo_feat"])
 
 
+def exact_sums(df: DataFrame, group_cols, sums: dict[str, Column], others: list[Column]) -> DataFrame:
+    """Per group the sums of double terms, whatever the order and partitions of the
+    rows, with ``others`` (aggregates that don't depend on order).
+
+    Every term is rounded to a multiple of a power of two, 2^-52 of the group's
+    largest term (one aggregate); the multiples are whole numbers, whose decimal sum
+    is exact. The error per term is that of adding it to the largest one once."""
+    keys = list(group_cols)
+    t = df.select(*df.columns, *[c.cast("double").alias(f"_t_{n}") for n, c in sums.items()])
+    path = scratch_path(df.sparkSession, "terms")
+    t.write.parquet(path)
+    t = df.sparkSession.read.parquet(path)
+    largest = t.groupBy(*keys).agg(*[F.max(F.abs(f"_t_{n}")).alias(f"_m_{n}") for n in sums])
+    unit = {n: F.when(F.col(f"_m_{n}") > 0, F.pow(F.lit(2.0), F.greatest(F.ceil(F.log2(f"_m_{n}")) - 52, F.lit(-1000)))).otherwise(F.lit(1.0)) for n in sums}
+    if keys:
+        on = F.lit(True)
+        for k in keys:
+            on = on & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+        j = t.join(largest.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[unit[n].alias(f"_u_{n}") for n in sums]), on)
+    else:
+        j = t.crossJoin(F.broadcast(largest.select(*[unit[n].alias(f"_u_{n}") for n in sums])))   # one row
+    whole = {n: F.sum(F.rint(F.col(f"_t_{n}") / F.col(f"_u_{n}")).cast("decimal(38,0)")) for n in sums}
+    return j.groupBy(*keys).agg(*others, *[(whole[n].cast("double") * F.max(f"_u_{n}")).alias(n) for n in sums])
+
+
 def moments(train: DataFrame, group_cols=(), weighted: bool = False) -> DataFrame:
-    """Moment sums of the two-feature, no-intercept regression in one
-    aggregate: n, Σx1², Σx1x2, Σx2², Σx1y, Σx2y, Σy², and max|x| for the
-    all-zero test. WLS multiplies X and y by sqrt(max(units, 1)), i.e. weights
-    the products by max(units, 1)."""
+    """Moment sums of the two-feature, no-intercept regression: n, Σx1², Σx1x2,
+    Σx2², Σx1y, Σx2y, Σy² (``exact_sums``: the same for any partitioning), and
+    max|x| for the all-zero test. WLS multiplies X and y by sqrt(max(units, 1)),
+    i.e. weights the products by max(units, 1)."""
     x1, x2, y = F.col("promo_feat"), F.col("rebate_pressure"), F.col("uplift_actual")
     w = F.greatest(F.col("units"), F.lit(1.0)) if weighted else F.lit(1.0)
     sw = F.sqrt(w) if weighted else F.lit(1.0)
-    g = train.groupBy(*group_cols) if group_cols else train.groupBy()
-    return g.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(w * x1 * x1).alias("s11"), F.sum(w * x1 * x2).alias("s12"),
-        F.sum(w * x2 * x2).alias("s22"), F.sum(w * x1 * y).alias("s1y"),
-        F.sum(w * x2 * y).alias("s2y"), F.sum(w * y * y).alias("syy"),
-        F.max(F.greatest(F.abs(x1 * sw), F.abs(x2 * sw))).alias("maxabs"))
+    narrow = train.select(*group_cols, "promo_feat", "rebate_pressure", "uplift_actual", "units")
+    return exact_sums(narrow, group_cols, {"s11": w * x1 * x1, "s12": w * x1 * x2, "s22": w * x2 * x2, "s1y": w * x1 * y, "s2y": w * x2 * y, "syy": w * y * y},
+                      [F.count(F.lit(1)).alias("n"), F.max(F.greatest(F.abs(x1 * sw), F.abs(x2 * sw))).alias("maxabs")])
 
 
 def r9(x: Column) -> Column:

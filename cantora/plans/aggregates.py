@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cantora.operators.star import dim_join
 from cantora.plans import marts
 from cantora.plans.oracle_sql import with_star
 from cantora.plans.registry import star_query
@@ -220,8 +221,8 @@ GROUP BY p.brand, d.month_start"""))
 def q_agg_count_distinct(star):
     """COUNT(DISTINCT order) and COUNT(DISTINCT region) per brand x month."""
     s = star.fct_sales.select("order_key", "region_id", "product_id", "date_id")
-    j = s.join(star.dim_product.select("product_id", "brand"), "product_id") \
-        .join(star.dim_date.select("date_id", "month_start"), "date_id")
+    j = dim_join(s, star.dim_product.select("product_id", "brand"), "product_id")
+    j = dim_join(j, star.dim_date.select("date_id", "month_start"), "date_id")
     return j.groupBy("brand", "month_start").agg(
         F.countDistinct("order_key").alias("orders"), F.countDistinct("region_id").alias("regions"))
 

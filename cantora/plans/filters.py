@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cantora.operators import forecast as fc
 from cantora.operators import semantic
+from cantora.operators.star import dim_join
 from cantora.plans import marts
 from cantora.plans.forecasting import BASE, CAL_SQL, train_sql, window_sql
 from cantora.plans.oracle_sql import with_star
@@ -92,7 +93,7 @@ def q_filter_window_launch(star):
     s = star.fct_sales.select("order_key", "line_no", "date_id", "product_id", "region_id", "units")
     p = star.dim_product.select("product_id", "launch_date")
     cut = star.dim_date.agg(F.date_sub(F.max("date_id"), WEEKS_PER_BRAND * 7).alias("_start"))
-    j = s.join(p, "product_id").crossJoin(F.broadcast(cut))
+    j = dim_join(s, p, "product_id").crossJoin(F.broadcast(cut))
     return j.filter((F.col("date_id") >= F.date_add("launch_date", LAUNCH_LAG_DAYS)) &
                     (F.col("date_id") >= F.col("_start"))) \
         .select("order_key", "line_no", "date_id", "product_id", "region_id", "units")

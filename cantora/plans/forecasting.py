@@ -53,14 +53,14 @@ def fcst_expr(a: str, b: str) -> tuple[str, str]:
     return up, f
 
 
-def window_sql(name: str, group: list[str], src: str = "cal") -> str:
+def window_sql(name: str, group: list[str], src: str = "cal", hold_out: int = 0) -> str:
     g = ", ".join(group)
     sel = (g + ", ") if group else ""
     gb = f" GROUP BY {g}" if group else ""
     return f"""
 {name} AS (
-  SELECT {sel}GREATEST(min(period), CAST(max(period) - INTERVAL 12 MONTH AS DATE)) AS train_start,
-         max(period) AS train_end
+  SELECT {sel}GREATEST(min(period), CAST(max(period) - INTERVAL {12 + hold_out} MONTH AS DATE)) AS train_start,
+         CAST(max(period) - INTERVAL {hold_out} MONTH AS DATE) AS train_end
   FROM {src}{gb}
 )"""
 
@@ -406,7 +406,10 @@ for _key, _m in (("fc_mape", "mape"), ("fc_smape", "smape"), ("fc_wape", "wape")
 SELECT brand, rows, null_forecasts, {_m} FROM bm_x"""))(_q)
 
 
-@star_query("fc_eval_train_valid", with_star(f"""{GLOBAL_TRAIN},{moments_sql('mo', 'train', [])},{ols_sql('p', 'mo', [])},
+VALID_MONTHS = 3
+
+
+@star_query("fc_eval_train_valid", with_star(f"""{BASE},{window_sql('win', [], hold_out=VALID_MONTHS)},{train_sql('train', 'feat', 'win', [])},{moments_sql('mo', 'train', [])},{ols_sql('p', 'mo', [])},
 ev AS (
   SELECT f.*, CASE WHEN f.period >= w.train_start AND f.period <= w.train_end THEN 'train'
                    WHEN f.period > w.train_end THEN 'valid' END AS split,
@@ -415,11 +418,12 @@ ev AS (
 )
 SELECT split, {metrics_sql()} FROM ev WHERE split IS NOT NULL GROUP BY split"""))
 def q_fc_eval_train_valid(star):
-    """Rows, MAPE, SMAPE, WAPE on the training window and after it, for the
-    global OLS fit (one-row parameter and window frames, broadcast)."""
+    """Rows, MAPE, SMAPE, WAPE on the training window and on the last three months,
+    which the global OLS fit doesn't see (one-row parameter and window frames,
+    broadcast)."""
     frame = frame_of(star)
     feats = fc.add_features(frame)
-    win = fc.default_window(frame)
+    win = fc.default_window(frame, hold_out=VALID_MONTHS)
     p = fc.fit(fc.train_rows(feats, win), "ols").select("alpha", "beta")
     j = feats.crossJoin(F.broadcast(win)).crossJoin(F.broadcast(p))
     split = F.when((F.col("period") >= F.col("train_start")) & (F.col("period") <= F.col("train_end")),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from cantora.functions.dates import make_month
 from cantora.operators import semantic, series
-from cantora.operators.star import DAY_GRAIN, MONTH_GRAIN
+from cantora.operators.star import DAY_GRAIN, MONTH_GRAIN, dim_join
 from cantora.plans import marts
 from cantora.plans.oracle_sql import with_star
 from cantora.plans.registry import star_query
@@ -23,19 +23,19 @@ def q_join_inner_star(star):
     """Fact rows inner-joined to date, product and region (orphans drop out)."""
     s = star.fct_sales.select("order_key", "line_no", "date_id", "product_id", "region_id",
                               "units", "gross_sales_chf")
-    j = (s.join(star.dim_date.select("date_id", "year", "month"), "date_id")
-         .join(star.dim_product.select("product_id", "brand"), "product_id")
-         .join(star.dim_region.select("region_id", "canton"), "region_id"))
+    j = dim_join(s, star.dim_date.select("date_id", "year", "month"), "date_id")
+    j = dim_join(j, star.dim_product.select("product_id", "brand"), "product_id")
+    j = dim_join(j, star.dim_region.select("region_id", "canton"), "region_id")
     return j.select("order_key", "line_no", "date_id", "year", "month", "brand", "canton",
                     "units", "gross_sales_chf")
 
 
 def left_star(star):
     s = star.fct_sales
-    j = (s.join(star.dim_date.select("date_id", "year", "month"), "date_id", "left")
-         .join(star.dim_product.select("product_id", "brand", "molecule"), "product_id", "left")
-         .join(star.dim_region.select("region_id", "canton"), "region_id", "left")
-         .join(star.dim_channel.select("channel_id", "channel_name"), "channel_id", "left"))
+    j = dim_join(s, star.dim_date.select("date_id", "year", "month"), "date_id", "left")
+    j = dim_join(j, star.dim_product.select("product_id", "brand", "molecule"), "product_id", "left")
+    j = dim_join(j, star.dim_region.select("region_id", "canton"), "region_id", "left")
+    j = dim_join(j, star.dim_channel.select("channel_id", "channel_name"), "channel_id", "left")
     return j.select(make_month(F.col("year"), F.col("month")).alias("month_start"),
                     "order_key", "line_no", "date_id", "product_id", "region_id", "channel_id",
                     "brand", "molecule", "canton", "channel_name", "units", "gross_sales_chf")
@@ -220,5 +220,5 @@ GROUP BY s.product_id"""))
 def q_join_semi_fk(star):
     """Fact rows covered by the product dimension (LEFT SEMI), per product."""
     s = star.fct_sales.select("product_id")
-    return s.join(star.dim_product.select("product_id"), "product_id", "left_semi") \
+    return dim_join(s, star.dim_product.select("product_id"), "product_id", "left_semi") \
         .groupBy("product_id").agg(F.count(F.lit(1)).alias("covered_rows"))

@@ -7,15 +7,20 @@ sink and the source.
 
 from __future__ import annotations
 
+import re
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cantora.operators import keys, semantic, series
 from cantora.operators.profile import profiles
 from cantora.plans import marts
+from cantora.plans.cleaning import stg_sql
 from cantora.plans.oracle_sql import with_star
 from cantora.plans.registry import star_query
 from cantora.session import scratch_path
+from cantora.sources import raw as R
 from cantora.sources.store import derive, month_of
 
 # The reference's channel seed list.
@@ -92,14 +97,15 @@ def q_materialize_table(star):
     return store.read(derive(store, star.lines_version, lambda months: marts.mart_gtn_waterfall(star.of_months(months)), month))
 
 
-@star_query("materialize_view", with_star("""
-SELECT year, month, brand, canton, CAST(units AS BIGINT) AS units, CAST(promo_spend AS DOUBLE) AS promo_spend
-FROM mart_brand_perf"""))
+@star_query("materialize_view", with_star(stg_sql("promo") + """
+SELECT product_id, channel_id, CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(COUNT(spend_chf) AS BIGINT) AS with_spend,
+       CAST(SUM(spend_chf) AS DOUBLE) AS spend_chf FROM stg_promo GROUP BY product_id, channel_id""", marts=False))
 def q_materialize_view(star):
-    """A model exposed as a (temporary) view and queried by name."""
-    marts.mart_brand_perf(star).createOrReplaceTempView("mart_brand_perf_v")
-    return star.spark.table("mart_brand_perf_v").select("year", "month", "brand", "canton", "units",
-                                                       "promo_spend")
+    """A staging model behind a view, cleaned from the landed text whenever the
+    view is read: spend by the cleaned keys, queried by the view's name."""
+    register_views(star, ["stg_promo"])
+    return star.spark.sql("SELECT product_id, channel_id, count(*) AS n_rows, count(spend_chf) AS with_spend, "
+                          "sum(spend_chf) AS spend_chf FROM stg_promo GROUP BY product_id, channel_id")
 
 
 CSV_SCHEMA = T.StructType([T.StructField("brand", T.StringType()), T.StructField("canton", T.StringType()),
@@ -118,16 +124,41 @@ def q_export_csv(star):
     return star.spark.read.schema(CSV_SCHEMA).option("header", True).csv(path)
 
 
+MARTS = {"mart_gtn_waterfall": marts.mart_gtn_waterfall, "mart_brand_perf": marts.mart_brand_perf,
+         "mart_forecast_accuracy": marts.mart_forecast_accuracy}
+MAX_ROWS = 5000
+
+
+def register_views(star, names: list[str] | None = None) -> list[str]:
+    """Temporary views of the warehouse under their own names: the star's tables, the
+    marts, the raw tables as landed and the staging models (``stg_*``, ``*_raw``)."""
+    makers = {t: (lambda t=t: getattr(star, t)) for t in CATALOG}
+    makers |= {m: (lambda f=f: f(star)) for m, f in MARTS.items()}
+    makers |= {f"stg_{w}": (lambda w=w: R.STAGING[w](R.raw_frame(star, w))) for w in R.STAGING}
+    makers |= {f"{w}_raw": (lambda w=w: R.raw_frame(star, w)) for w in R.STAGING}
+    for n in makers if names is None else names:
+        makers[n]().createOrReplaceTempView(n)
+    return sorted(makers)
+
+
+def run_sql(star, statement: str, params: dict | None = None, max_rows: int = MAX_ROWS) -> DataFrame:
+    """A user's statement over the warehouse's views with named parameters (``:name``,
+    bound as values by Spark), capped at ``max_rows`` rows. Only views that the
+    text names are registered; without an ORDER BY any rows may be the capped ones."""
+    words = set(re.findall(r"\w+", statement))
+    register_views(star, [n for n in [*CATALOG, *MARTS, *[f"stg_{w}" for w in R.STAGING], *[f"{w}_raw" for w in R.STAGING]] if n in words])
+    return star.spark.sql(statement, args=params or {}).limit(max_rows)
+
+
 @star_query("adhoc_sql_limit", with_star("""
 SELECT year, month, brand, canton, CAST(gross_sales_chf AS DOUBLE) AS gross_sales_chf,
        CAST(rebates_chf AS DOUBLE) AS rebates_chf, CAST(net_sales_chf AS DOUBLE) AS net_sales_chf
-FROM mart_gtn_waterfall ORDER BY year, month, brand, canton LIMIT 100"""))
+FROM mart_gtn_waterfall WHERE net_sales_chf >= 1000 ORDER BY year, month, brand, canton LIMIT 100"""))
 def q_adhoc_sql_limit(star):
-    """One user SELECT capped at max_rows: ``spark.sql(stmt).limit(n)`` (the
-    statement carries a total ORDER BY, so the capped rows are determined)."""
-    marts.mart_gtn_waterfall(star).createOrReplaceTempView("mart_gtn_waterfall")
-    stmt = "SELECT * FROM mart_gtn_waterfall ORDER BY year, month, brand, canton"
-    return star.spark.sql(stmt).limit(100)
+    """A user SELECT with a parameter, capped at 100 rows (the statement carries a
+    total ORDER BY, so the capped rows are determined)."""
+    return run_sql(star, "SELECT * FROM mart_gtn_waterfall WHERE net_sales_chf >= :least ORDER BY year, month, brand, canton",
+                   {"least": 1000}, max_rows=100)
 
 
 HEAD_ORDER = ["date_id", "order_key", "line_no", "product_id", "region_id", "channel_id", "units",

@@ -87,3 +87,25 @@ def test_grid_plan_has_no_join(spark, train_pd):
     # the rows x grid expansion is a generator, not a join of rows with a grid table
     assert "Generate" in plan
     assert "CartesianProduct" not in plan
+
+
+def test_parameters_do_not_depend_on_partitions(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from cantora.operators import forecast as fc
+    rng = random.Random(11)
+    rows = [(f"b{k % 3}" if k % 7 else None, rng.lognormvariate(0, 8), rng.uniform(-1, 1), rng.lognormvariate(3, 4), rng.gauss(0, 1e6)) for k in range(3000)]
+    df = spark.createDataFrame(rows, "brand string, promo_feat double, rebate_pressure double, units double, uplift_actual double")
+    for group in ((), ("brand",)):
+        for weighted in (False, True):
+            got = []
+            for n in (1, 7, 200):
+                m = fc.moments(df.orderBy(F.rand(n)).repartition(n), group, weighted)
+                got.append(sorted(map(str, m.collect())))
+            assert got[0] == got[1] == got[2]
+    m = fc.moments(df).first()
+    assert abs(m.s1y - sum(r[1] * r[4] for r in rows)) <= 1e-9 * abs(m.s1y) + 1e-9 * sum(abs(r[1] * r[4]) for r in rows)
+    empty = fc.moments(df.limit(0)).collect()
+    assert len(empty) == 1 and empty[0].n == 0
