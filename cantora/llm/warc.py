@@ -1,7 +1,7 @@
 """Deterministic sharded WARC writer and reader.
 
-Pages are dealt to shards by ranges of page_id that hold about equal payload
-bytes, sorted within a shard, and written as gzip members, one a record, into
+Pages are dealt to shards by ranges of (page_id, digest) that hold about equal payload
+bytes, found by an exact prefix sum over the sorted pages, sorted within a shard, and written as gzip members, one a record, into
 files that roll at a compressed size. Everything in a file follows from the
 pages and the parameters, so a rewrite gives the same bytes. Tasks write under
 names of their own attempt and report them; the table of reported files is
@@ -16,18 +16,20 @@ import hashlib
 import re
 import zlib
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cantora.llm.files import attempt_name, store
+from cantora.session import ensure_checkpoint_dir
 
 SHARD_BYTES = 64 << 20
 ROLL_BYTES = 16 << 20
-BUCKETS = 4096
 DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _REPORT = "shard int, seq int, attempt string, file string, records long, bytes long"
+_SENT = "page_id long, sha1 binary, content boolean, refers_to long, url string, html string"
 _RECORD = "page_id long, url string, record_type string, refers_to long, payload_digest string, payload_bytes long, payload binary"
 
 
@@ -93,6 +95,53 @@ def _table(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], f.type) for k, f in enumerate(schema)], schema=schema)
 
 
+def _place(page_id: Column, sha1: Column) -> Column:
+    """29 bytes that sort as (page_id, nulls first; sha1)."""
+    number = F.lpad(F.hex(page_id.bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+    return F.concat(F.unhex(F.concat(F.when(page_id.isNull(), "00").otherwise("01"), F.coalesce(number, F.lit("0" * 16)))), sha1)
+
+
+def _borders(rows: DataFrame, shard_bytes: int) -> np.ndarray:
+    """The first place of every shard, ascending: a place is in the shard in which the
+    bytes of all places before it end. They follow from the rows alone.
+
+    Places are summed, range-partitioned and sorted; the sums of the partitions (a row
+    each) come to the driver, and the borders, 29 bytes for each ``shard_bytes`` of pages."""
+    ensure_checkpoint_dir(rows.sparkSession)
+    size = F.octet_length(F.coalesce("html", F.lit(""))) + 512
+    places = rows.groupBy(_place(F.col("page_id"), F.col("sha1")).alias("place")).agg(F.sum(size).alias("bytes"))
+    places = places.repartitionByRange("place").sortWithinPartitions("place").withColumn("part", F.spark_partition_id()).checkpoint()
+    bases, total = {}, 0
+    for part, n in sorted(tuple(r) for r in places.groupBy("part").agg(F.sum("bytes")).collect()):
+        bases[part], total = total, total + n
+    schema = pa.schema([("shard", pa.int64()), ("place", pa.binary())])
+
+    def firsts(batches):
+        before, last = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            size = batch.column("bytes").to_numpy()
+            before = bases[batch.column("part")[0].as_py()] if before is None else before
+            shard = (before + np.cumsum(size) - size) // shard_bytes
+            before += int(size.sum())
+            first = np.flatnonzero(np.diff(shard, prepend=-1 if last is None else last))
+            last = shard[-1]
+            yield pa.RecordBatch.from_arrays([pa.array(shard[first]), batch.column("place").take(pa.array(first))], schema=schema)
+
+    found = places.mapInArrow(firsts, "shard long, place binary").groupBy("shard").agg(F.min("place").alias("place"))
+    return np.array(sorted(bytes(r["place"]) for r in found.collect()), "S29")
+
+
+def _dealer(borders):
+    def work(batches):
+        for batch in batches:
+            place = np.array(batch.column(0).to_pylist(), "S29")
+            shard = np.searchsorted(borders.value, place, side="right") - 1
+            yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), *batch.columns[1:]], ["shard", *batch.schema.names[1:]])
+    return work
+
+
 def _writer(root: str, roll: int, date: str):
     schema = pa.schema([("shard", pa.int32()), ("seq", pa.int32()), ("attempt", pa.string()), ("file", pa.string()), ("records", pa.int64()), ("bytes", pa.int64())])
 
@@ -140,24 +189,14 @@ def write_archives(pages: DataFrame, root: str, shard_bytes: int = SHARD_BYTES,
     spark = pages.sparkSession
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
     rows = rows.withColumn("sha1", F.unhex(F.sha1(F.coalesce("html", F.lit("")))))
-    span = rows.agg(F.min("page_id").alias("lo"), F.max("page_id").alias("hi")).first()
-    lo, width = span["lo"] or 0, (span["hi"] or 0) - (span["lo"] or 0) + 1
-    # range buckets of equal width, at most BUCKETS + 1; their bytes decide the shards' borders
-    bucket = F.coalesce(F.expr(f"cast(floor((cast(page_id as decimal(38,0)) - {lo}) * {BUCKETS} / {width}) as int)"), F.lit(0))
-    size = F.octet_length(F.coalesce("html", F.lit(""))) + 512
-    weights = sorted(tuple(r) for r in rows.groupBy(bucket.alias("b")).agg(F.sum(size)).collect())
-    shards, before = [], 0
-    for b, n in weights:
-        shards.append((b, before // shard_bytes))
-        before += n
-    n_shards = shards[-1][1] + 1 if shards else 1
-    borders = F.broadcast(spark.createDataFrame(shards, "b int, shard int"))
+    borders = _borders(rows, shard_bytes)
     kept = rows.groupBy("sha1").agg(F.max("page_id").alias("kept"))
     thin = rows.select("page_id", "sha1").distinct().join(kept, "sha1")
     both = thin.select("page_id", "sha1", F.lit(False).alias("content"), F.col("kept").alias("refers_to"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html"))
     both = both.unionByName(rows.select("page_id", "sha1", F.lit(True).alias("content"), F.lit(None).cast("long").alias("refers_to"), "url", "html"))
-    both = both.withColumn("b", bucket).join(borders, "b").select("shard", "page_id", "sha1", "content", "refers_to", "url", "html")
-    both = both.repartition(n_shards, "shard").sortWithinPartitions("shard", "page_id", "sha1", "content", "url")
+    both = both.select(_place(F.col("page_id"), F.col("sha1")).alias("place"), "page_id", "sha1", "content", "refers_to", "url", "html")
+    both = both.mapInArrow(_dealer(spark.sparkContext.broadcast(borders)), f"shard int, {_SENT}")
+    both = both.repartitionById(max(1, len(borders)), "shard").sortWithinPartitions("shard", "page_id", "sha1", "content", "url")
 
     files, path = store(root)
     files.create_dir(f"{path}/_attempts", recursive=True)

@@ -1,6 +1,7 @@
 import base64
 import hashlib
 import os
+import random
 
 from cantora.llm import warc
 
@@ -46,6 +47,26 @@ def test_same_bytes_for_another_partitioning(spark, tmp_path):
     assert digests(1) == digests(7)
 
 
+def test_far_off_and_missing_ids_leave_shards_even(spark, tmp_path):
+    """One id far from the others, and rows without one: shards are as even as rows allow."""
+    rng = random.Random(4)
+    rows = [(i, "u", f"{i} " + "x" * rng.randrange(2000)) for i in range(300)] + [(2**62, "far", "z"), (-2**63, "low", "a")]
+    rows += [(None, None, f"{i}" * 500) for i in range(300)]
+    root = str(tmp_path / "far")
+    warc.write_archives(frame(spark, rows), root, 50_000)
+    got = [tuple(r) for r in warc.read_archives(spark, root).collect()]
+    assert sorted(got, key=str) == sorted(brute(rows), key=str)
+    total = sum(len(h) + 512 for _, _, h in rows)
+    assert len({r.shard for r in spark.read.parquet(f"{root}/manifest").collect()}) == -(-total // 50_000)
+    weights = warc._borders(frame(spark, rows).selectExpr("page_id", "html", "unhex(sha1(html)) as sha1"), 50_000)
+    place = {(1, i + 2**63, hashlib.sha1(h.encode()).digest()) if i is not None else (0, 0, hashlib.sha1(h.encode()).digest()): len(h) + 512 for i, _, h in rows}
+    before, want = 0, {}
+    for (known, n, sha1), size in sorted(place.items()):
+        want.setdefault(before // 50_000, bytes([known]) + n.to_bytes(8, "big") + sha1)
+        before += size
+    assert [bytes(w).ljust(29, b"\0") for w in weights] == list(want.values())
+
+
 def test_empty_table(spark, tmp_path):
     warc.write_archives(frame(spark, []), str(tmp_path / "e"))
     assert warc.read_archives(spark, str(tmp_path / "e")).collect() == []
