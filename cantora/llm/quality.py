@@ -1,10 +1,12 @@
 """Quality rules as a short-circuit cascade, in DataFrame expressions only.
 
 Each rule rejects a document by an integer test over a few measures of its
-text. The cascade estimates every rule's cost (run time) and selectivity
-(share rejected) on a bounded sample, orders the rules by rejection per cost
-and nests them in one CASE, so that a row pays for a rule only if no earlier
-one rejected it. The order changes the cost, never the verdict."""
+text. On a bounded sample of the rows that reach the cascade, every rule's cost
+(run time a row, above that of the same job without the rule) and selectivity
+(share rejected of what the rules before it let through) are estimated; the
+next rule is always the one of most rejection per cost. They are nested in one
+CASE, so that a row pays for a rule only if no earlier one rejected it. The
+order changes the cost, never the verdict."""
 
 from __future__ import annotations
 
@@ -22,6 +24,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 SAMPLE_ROWS = 2000
+COPIES = (4, 32, 256)  # how often a timed job evaluates a rule on each sampled row
 
 
 def words(text: Column) -> Column:
@@ -92,29 +95,78 @@ RULES = (
 
 class Estimate(NamedTuple):
     rule: Rule
-    seconds: float   # of the rule alone over the sample
-    rejected: float  # share of the sample
+    seconds: float   # of the rule alone, a row
+    rejected: float  # share of the rows that the rules before it let through
 
     @property
     def rank(self) -> float:
-        return self.rejected / max(self.seconds, 1e-6)
+        return self.rejected / max(self.seconds, 1e-12)
 
 
-def estimate(docs: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS) -> list[Estimate]:
-    """Cost and selectivity of each rule on a random sample of about ``sample_rows``
-    rows, best rejection per cost first (ties by name)."""
+def base_failed(words_: Column, repeats: Column) -> Column:
+    return (words_ < 10) | (100 * repeats > 20 * words_)
+
+
+def _timed(sample: DataFrame, copies: int, verdict: Column) -> float:
+    """Seconds of a job that evaluates ``verdict`` so often on each row; the better of two runs, as the first compiles."""
+    job = sample.select("t", F.explode(F.sequence(F.lit(1), F.lit(copies)))).agg(F.count_if(verdict))
+    best = float("inf")
+    for _ in range(2):
+        began = time.perf_counter()
+        job.first()
+        best = min(best, time.perf_counter() - began)
+    return best
+
+
+def costs(sample: DataFrame, rows: int, rules=RULES) -> dict[str, float]:
+    """Seconds a row of each rule over a sample of (t): its job's time less that of the job
+    that only looks at the text's length, at so many copies that the rule is the larger part."""
+    empty = {}
+    out = {}
+    for rule in rules:
+        for copies in COPIES:
+            if copies not in empty:
+                empty[copies] = _timed(sample, copies, F.octet_length("t") < 0)
+            spent = _timed(sample, copies, rule.rejects(F.col("t"))) - empty[copies]
+            if spent >= empty[copies]:
+                break
+        out[rule.name] = max(spent, 0.0) / (copies * max(rows, 1))
+    return out
+
+
+def ordered(rules, seconds: dict[str, float], patterns: dict[tuple, int]) -> list[Estimate]:
+    """Rules by most rejection per cost among the rows left by those chosen before (ties by
+    name). ``patterns`` counts rows by the tuple of the rules' verdicts."""
+    left, todo, out = dict(patterns), dict(enumerate(rules)), []
+    while todo:
+        n = sum(left.values())
+        found = {k: Estimate(r, seconds[r.name], sum(c for v, c in left.items() if v[k]) / max(n, 1)) for k, r in todo.items()}
+        best = min(found, key=lambda k: (-found[k].rank, found[k].rule.name))
+        out.append(found[best])
+        left = {v: c for v, c in left.items() if not v[best]}
+        del todo[best]
+    return out
+
+
+def estimate(docs: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS, repeats_first: bool = True) -> list[Estimate]:
+    """The cascade's order from a random sample of about ``sample_rows`` rows of ``docs``.
+
+    Only sampled rows that pass the base test are used (with ``repeats_first`` false: its
+    word count alone). The count for the sampling fraction reads no column. What comes to
+    the driver is a row for each combination of verdicts in the sample."""
     ensure_checkpoint_dir(docs.sparkSession)
     sample = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"))
-    sample = sample.sample(min(1.0, sample_rows / max(1, docs.count())), seed=1).checkpoint()
-    rows = sample.count()
-    out = []
-    for rule in rules:
-        hits = sample.agg(F.count_if(rule.rejects(F.col("t"))).alias("n"))
-        rejected = hits.first()["n"]  # also compiles the plan, so that the timed run is warm
-        began = time.perf_counter()
-        hits.first()
-        out.append(Estimate(rule, time.perf_counter() - began, rejected / max(rows, 1)))
-    return sorted(out, key=lambda e: (-e.rank, e.rule.name))
+    sample = sample.sample(min(1.0, sample_rows / max(1, docs.count())), seed=1).repartition(8)
+    if repeats_first:
+        sample = with_repeats(sample, "t", "r", "w").where(~base_failed(F.size("w"), F.col("r"))).select("t")
+    else:
+        sample = sample.where(n_words(F.col("t")) >= 10)
+    sample = sample.checkpoint()
+    verdicts = [F.coalesce(r.rejects(F.col("t")), F.lit(False)).alias(f"v{k}") for k, r in enumerate(rules)]
+    patterns = {tuple(r[:-1]): r[-1] for r in sample.select(*verdicts).groupBy(*(f"v{k}" for k in range(len(rules)))).count().collect()}
+    rows = sum(patterns.values())
+    seconds = costs(sample, rows, rules) if rows else dict.fromkeys((r.name for r in rules), 0.0)
+    return ordered(rules, seconds, patterns)
 
 
 def cascade(text: Column, order: list[Estimate]) -> Column:
@@ -141,7 +193,7 @@ def judge(docs: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS) -> DataF
     df = with_repeats(df, "t", "n_repeat_words", "w")
     df = df.select("doc_id", "t", F.size("w").cast("long").alias("n_words"), word_chars(t).alias("word_chars"),
                    n_of(t, SYMBOLS).alias("n_symbols"), n_dup_lines(full_lines(t)).alias("n_dup_lines"), "n_repeat_words")
-    df = df.withColumn("base_failed", (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words")))
+    df = df.withColumn("base_failed", base_failed(F.col("n_words"), F.col("n_repeat_words")))
     df = df.withColumn("rejected_by", F.when(F.col("base_failed"), F.lit("base")).otherwise(cascade(t, order)))
     return df.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
                      F.col("rejected_by").isNull().alias("kept"), "rejected_by")
@@ -149,10 +201,14 @@ def judge(docs: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS) -> DataF
 
 def keep_good(docs: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The rows of ``docs`` that pass, with the columns of ``docs``: word count and cascade
-    first, the repeated windows (the dearest measure) only over what is left."""
+    first, the repeated windows (the dearest measure) only over what is left.
+
+    Defined results: null or empty text goes; repeated rows and rows without doc_id are
+    judged one by one; columns but text are passed on unread; an empty table gives no rows."""
     names = docs.columns
     df = docs.select(F.struct(*(F.col(f"`{c}`") for c in names)).alias("row"),
                      F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"))
-    df = df.where(F.when(n_words(F.col("t")) < 10, F.lit(False)).otherwise(cascade(F.col("t"), estimate(docs, rules, sample_rows)).isNull()))
+    order = estimate(docs, rules, sample_rows, repeats_first=False)
+    df = df.where(F.when(n_words(F.col("t")) < 10, F.lit(False)).otherwise(cascade(F.col("t"), order).isNull()))
     df = with_repeats(df, "t", "n_repeat", "w")
     return df.where(100 * F.col("n_repeat") <= 20 * F.size("w")).select("row.*")

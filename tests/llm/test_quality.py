@@ -41,13 +41,46 @@ def test_cascade_order_never_changes_the_verdict(spark):
     rows, n = cases(), len(quality.RULES)
     docs = frame(spark, rows)
     order = quality.estimate(docs)
-    assert [e.rank for e in order] == sorted((e.rank for e in order), reverse=True)
+    assert sorted(e.rule.name for e in order) == sorted(r.name for r in quality.RULES)
     from pyspark.sql import functions as F
     t = F.coalesce("text", F.lit(""))
     verdicts = docs.select(*(quality.cascade(t, order[k:] + order[:k]).isNull().alias(str(k)) for k in range(n))).collect()
     assert all(len(set(r)) == 1 for r in verdicts)
 
 
+def test_order_is_by_rejection_per_cost_of_what_is_left():
+    """Against a brute-force version that judges the rows again for each place."""
+    rng = random.Random(2)
+    rules = [quality.Rule(n, None) for n in "abcd"]
+    for _ in range(100):
+        rows = [tuple(rng.random() < p for p in (0.1, 0.4, 0.3, 0.05)) for _ in range(rng.randrange(0, 60))]
+        seconds = {n: rng.choice([1e-6, 3e-6, 2e-5]) for n in "abcd"}
+        got = quality.ordered(rules, seconds, Counter(rows))
+        left, names = list(rows), "abcd"
+        for e in got:
+            share = {n: sum(r["abcd".index(n)] for r in left) / max(len(left), 1) for n in names}
+            best = max(share[n] / seconds[n] for n in names)
+            assert e.rule.name == min(n for n in names if share[n] / seconds[n] == best) and e.rejected == share[e.rule.name]
+            left = [r for r in left if not r["abcd".index(e.rule.name)]]
+            names = names.replace(e.rule.name, "")
+
+
+def test_costs_tell_a_dear_rule_from_a_cheap_one(spark):
+    from pyspark.sql import functions as F
+    rng = random.Random(3)
+    sample = frame(spark, [(i, prose(rng, 300)) for i in range(200)]).select(F.col("text").alias("t")).repartition(4).checkpoint()
+    rules = (quality.Rule("cheap", lambda t: F.octet_length(t) > 10), quality.Rule("dear", lambda t: F.size(quality.words(t)) > 10 ** 6))
+    seconds = quality.costs(sample, 200, rules)
+    assert seconds["dear"] > 5 * seconds["cheap"]
+
+
+def test_rows_that_fail_the_base_test_do_not_count(spark):
+    rng = random.Random(4)
+    rows = [(i, "# " * 4) for i in range(50)] + [(100 + i, prose(rng, 30)) for i in range(45)] + [(200 + i, prose(rng, 30) + " " + "#" * 9) for i in range(5)]
+    by_name = {e.rule.name: e.rejected for e in quality.estimate(frame(spark, rows))}
+    assert by_name["symbols"] == 0.1 and by_name["lines"] == 0
+
+
 def test_keep_good_returns_the_kept_rows_whole(spark):
     rows = cases()
     docs = frame(spark, rows)
