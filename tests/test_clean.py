@@ -52,3 +52,10 @@ def test_clean_is_builtin_only(spark):
     df = spark.createDataFrame([("1,234.56",)], "c string")
     plan = df.select(clean_numeric("c"), clean_date("c"))._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_clean_numeric_asks_for_three_forms(spark):
+    """One pattern for each thing that is done to a cell."""
+    df = spark.createDataFrame([("1,234.56",)], "c string")
+    plan = df.select(clean_numeric("c").alias("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") <= 3
